@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
@@ -16,13 +16,15 @@ class TableSpec:
 
     ``kind`` is ``loads`` (append only, one directory per load), ``versions``
     (replaced as a whole or by partition, current state named by a pointer file)
-    or ``stream`` (written by one file sink).
+    or ``stream`` (written by one file sink).  ``partition_by`` is a date column
+    and ``hidden`` further columns that are stored but not part of the contract.
     """
 
     name: str
     schema: StructType
     kind: str
     partition_by: str | None = None
+    hidden: StructType = StructType()
     cluster_by: tuple[str, ...] = ()
     ts_col: str | None = None
     stale_hours: int | None = None
@@ -40,7 +42,7 @@ TABLES = {
                   ts_col="ingested_at", stale_hours=168),
         TableSpec("bronze._cosmos_watermarks", schemas.WATERMARKS, "versions"),
         TableSpec("silver.fact_trip_delay_event", schemas.SILVER_FACT, "versions",
-                  partition_by="event_date", cluster_by=("route_id", "event_ts"),
+                  partition_by="event_date", hidden=schemas.SILVER_FACT_ORDER, cluster_by=("route_id", "event_ts"),
                   ts_col="event_ts", stale_hours=24),
         TableSpec("silver.dim_route", schemas.SILVER_DIM_ROUTE, "versions"),
         TableSpec("gold.route_delay_kpi_daily", schemas.GOLD_KPI, "versions",
@@ -63,26 +65,32 @@ class LakeConfig:
 
     ``sql_catalog`` names a Spark catalog with row-level operations; when set,
     upserts are sent to it as ``MERGE INTO`` instead of rewriting directories.
+    ``generation`` numbers the full refreshes of the declarative tables.
     """
 
     root: str
     catalog: str = "dev"
     sql_catalog: str | None = None
+    generation: int = 0
 
     def spec(self, name: str) -> TableSpec:
         return TABLES[name]
 
     def path(self, name: str) -> str:
         layer, table = name.split(".", 1)
-        return f"{self.root}/{self.catalog}/{layer}/{table.lstrip('_')}"
+        base = f"{self.root}/{self.catalog}/{layer}/{table.lstrip('_')}"
+        return f"{base}/g{self.generation}" if layer == "flow" else base
 
-    def checkpoint(self, flow: str, generation: int = 0) -> str:
-        return f"{self.root}/{self.catalog}/checkpoints/{flow}/g{generation}"
+    def checkpoint(self, flow: str) -> str:
+        return f"{self.root}/{self.catalog}/checkpoints/{flow}/g{self.generation}"
 
     def sql_name(self, name: str) -> str:
         layer, table = name.split(".", 1)
         return f"`{self.sql_catalog}`.`{layer}`.`{table}`"
 
+    def at_generation(self, generation: int) -> LakeConfig:
+        return replace(self, generation=generation)
+
 
 def shared_dir(spark: SparkSession, default: str) -> str:
     """The cluster's shared work folder, or ``default`` where none is configured."""

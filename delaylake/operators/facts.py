@@ -2,25 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylake import fixed_values as fv
-from delaylake.functions import event_time, path_key, validity
+from delaylake.functions import event_time, kpi_date, path_key, validity
 from delaylake.operators.combine import union_sources
 from delaylake.operators.ranking import dedup_latest
 
 
-def to_silver(events: DataFrame) -> DataFrame:
-    """Event rows in the silver contract; the document id is the key."""
-    return events.select(
+def _silver_columns() -> list[Column]:
+    return [
         F.col("id").alias("event_sk"),
-        "route_id",
-        "trip_id",
+        F.col("route_id"),
+        F.col("trip_id"),
         event_time("trip_update_timestamp", "ingested_at").alias("event_ts"),
         F.col("first_stop_delay_sec").alias("delay_sec"),
-        "ingest_batch_id",
+        F.col("ingest_batch_id"),
         validity("strict").alias("is_valid"),
+    ]
+
+
+def to_silver(events: DataFrame) -> DataFrame:
+    """Event rows in the silver contract; the document id is the key."""
+    return events.select(*_silver_columns())
+
+
+def to_stored_silver(events: DataFrame) -> DataFrame:
+    """The silver contract with its day and the columns a later load is ranked by."""
+    time = event_time("trip_update_timestamp", "ingested_at")
+    return events.select(
+        *_silver_columns(),
+        F.col("ingested_at").alias("_ingested_at"),
+        "_source",
+        kpi_date(time).alias("event_date"),
     )
 
 

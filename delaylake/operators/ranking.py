@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake import fixed_values as fv
+from delaylake.functions import event_time
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
@@ -28,14 +29,30 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -
     return _ranked(df, keys, order_by, 1).drop("_rn")
 
 
+def _freshest(ingested: str, source_col: str, *tie_break: Column) -> list[Column]:
+    priority = F.when(F.col(source_col) == fv.TAG_BATCH, 0).otherwise(1)
+    return [F.desc(ingested), priority.asc(), *[c.desc() for c in tie_break]]
+
+
 def dedup_latest(unioned: DataFrame, source_col: str = "_source") -> DataFrame:
     """Freshest ingestion per document id; the batch path wins ties; NULL times last."""
-    priority = F.when(F.col(source_col) == fv.TAG_BATCH, 0).otherwise(1)
-    order = [F.desc("ingested_at"), priority.asc()]
-    order += total_order(unioned, ("id", "ingested_at", source_col))
+    names = ("route_id", "trip_id", "first_stop_delay_sec", "ingest_batch_id")
+    time = event_time("trip_update_timestamp", "ingested_at")
+    order = _freshest("ingested_at", source_col, *[F.col(c) for c in names], time)
     return keep_first(unioned, ["id"], order)
 
 
+def dedup_stored(rows: DataFrame) -> DataFrame:
+    """The same choice among rows in the stored silver shape.
+
+    Choosing the first of a total order is associative: ranking new rows against
+    the stored winner equals ranking all rows ever loaded.
+    """
+    names = ("route_id", "trip_id", "delay_sec", "ingest_batch_id", "event_ts")
+    order = _freshest("_ingested_at", "_source", *[F.col(c) for c in names])
+    return keep_first(rows, ["event_sk"], order)
+
+
 def latest_per_route(ref: DataFrame) -> DataFrame:
     """Newest snapshot of each route, so a route dropped from a later file survives."""
     order = [F.desc("snapshot_date"), F.desc("ingested_at")]

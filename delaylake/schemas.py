@@ -42,6 +42,8 @@ SILVER_FACT = _struct(
     ("event_sk", _S), ("route_id", _S, False), ("trip_id", _S), ("event_ts", _TS),
     ("delay_sec", _I), ("ingest_batch_id", _S), ("is_valid", _B),
 )
+# Stored next to the silver contract so that a later load can be ranked against it.
+SILVER_FACT_ORDER = _struct(("_ingested_at", _TS), ("_source", _S))
 SILVER_DIM_ROUTE = _struct(
     ("route_id", _S, False), ("route_short_name", _S), ("route_long_name", _S),
     ("route_type", _S), ("effective_from", _DT), ("effective_to", _DT),

@@ -9,6 +9,7 @@ from delaylake.functions.columns import (
     is_stream_route,
     kpi_date,
     kpi_date_by_text,
+    parse_json,
     parse_ts,
     path_key,
     route_type_label,
@@ -19,6 +20,6 @@ from delaylake.functions.columns import (
 
 __all__ = [
     "delay_label", "doc_id", "event_time", "first_stop_delay", "hour_utc", "is_stream_route",
-    "kpi_date", "kpi_date_by_text", "parse_ts", "path_key", "route_type_label", "stamp", "to_iso",
+    "kpi_date", "kpi_date_by_text", "parse_json", "parse_ts", "path_key", "route_type_label", "stamp", "to_iso",
     "validity",
 ]

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delaylake import fixed_values as fv
 
@@ -21,6 +22,16 @@ def event_time(epoch: ColumnOrName, fallback: ColumnOrName) -> Column:
     return F.coalesce(F.timestamp_seconds(_c(epoch)), _c(fallback))
 
 
+def parse_json(text: ColumnOrName, schema: StructType) -> Column:
+    """JSON text to a struct, parsed once per row; unreadable text gives NULL.
+
+    The one-element explode is a barrier: a later filter on a parsed field would
+    otherwise be pushed below the parse and parse the text again for every field
+    it uses, since Catalyst copies the expression into the predicate.
+    """
+    return F.explode(F.array(F.from_json(_c(text), schema, {"mode": "PERMISSIVE"})))
+
+
 def parse_ts(text: ColumnOrName) -> Column:
     """ISO-8601 text to timestamp; unreadable text gives NULL."""
     return F.try_to_timestamp(_c(text))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from delaylake import fixed_values as fv
 from delaylake import schemas
-from delaylake.functions import route_type_label
+from delaylake.functions import parse_json, route_type_label
 from delaylake.operators.ranking import latest_per_route
 
 ATTRIBUTES = ("route_id", "route_short_name", "route_long_name", "route_type")
@@ -23,7 +23,7 @@ def fallback_routes(spark: SparkSession) -> DataFrame:
 
 def latest_routes(ref: DataFrame) -> DataFrame:
     """Attributes of each route from its newest reference snapshot."""
-    doc = F.from_json("payload", schemas.REFERENCE_TEXT)
+    doc = parse_json("payload", schemas.REFERENCE_TEXT)
     return latest_per_route(ref).select("route_id", doc.alias("r")).select(
         "route_id",
         F.col("r.route_short_name").alias("route_short_name"),

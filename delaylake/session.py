@@ -13,11 +13,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # percentile_approx runs in the object hash aggregate, which turns to sorting
-    # after 128 groups per task.  A task sees one input split, so all its sketches
-    # together never hold more values than that split has rows; thousands of
-    # (day, route) groups fit easily and the sort is avoided.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from delaylake import fixed_values as fv
 from delaylake import schemas
-from delaylake.functions import doc_id, first_stop_delay, is_stream_route, parse_ts, to_iso
+from delaylake.functions import doc_id, first_stop_delay, is_stream_route, parse_json, parse_ts, to_iso
 
 
 def trip_docs(
@@ -75,7 +75,7 @@ def to_messages(docs: DataFrame) -> DataFrame:
 
 def parse_docs(df: DataFrame, schema: StructType = schemas.STORED_DOC, col: str = "value") -> DataFrame:
     """JSON text to typed columns; malformed text gives a row of NULLs."""
-    return df.select(F.from_json(col, schema, {"mode": "PERMISSIVE"}).alias("d")).select("d.*")
+    return df.select(parse_json(col, schema).alias("d")).select("d.*")
 
 
 def incremental_slice(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake import schemas
-from delaylake.functions import parse_ts
+from delaylake.functions import parse_json, parse_ts
 
 
 def read_messages(
@@ -34,7 +34,7 @@ def parse_hub(raw: DataFrame) -> DataFrame:
 
     A malformed payload or field gives NULL instead of an error.
     """
-    doc = raw.select(F.from_json("payload", schemas.MESSAGE_TEXT).alias("m"))
+    doc = raw.select(parse_json("payload", schemas.MESSAGE_TEXT).alias("m"))
     return doc.select(
         F.col("m.id").alias("id"),
         F.col("m.route_id").alias("route_id"),

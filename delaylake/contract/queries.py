@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from delaylake import fixed_values as fv
+from delaylake import storage
+from delaylake.config import LakeConfig, shared_dir
 from delaylake.contract import inputs as src
 from delaylake.functions import (
     delay_label,
@@ -21,8 +26,11 @@ from delaylake.functions import (
 )
 from delaylake.operators import combine, facts, kpi, monitor, quality, ranking, routes
 from delaylake.operators.upsert import advance_watermark, append_if_absent, upsert
+from delaylake.plans import daily, medallion
 from delaylake.session import configure
-from delaylake.sources import documents, messages, reference
+from delaylake.sources import documents, messages
+from delaylake.streaming import flows
+from delaylake.streaming.bronze import start_bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -756,3 +764,85 @@ SELECT tables, tables - stale AS fresh_tables, jobs, jobs - bad AS healthy_jobs,
 FROM c""")
 def _(x: Inputs) -> DataFrame:
     return monitor.health_report(_fresh(x), _runs(x), quality.quality_profile(x.silver))
+
+
+# --- stored tables and streams, run to their end and read back -----------------------
+
+
+def _lake(x: Inputs) -> LakeConfig:
+    """A new lake in the cluster's shared folder (a temporary one where none is set)."""
+    root = shared_dir(x.spark, "") or tempfile.mkdtemp(prefix="delaylake-")
+    return LakeConfig(root=f"{root}/{uuid.uuid4().hex}")
+
+
+def _event_stream(x: Inputs) -> DataFrame:
+    reader = x.spark.readStream.schema(x.table("events").schema)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(x.sf_dir)
+
+
+def _named_routes(base: DataFrame) -> DataFrame:
+    """The stored contract needs a route; the feed names unknown ones so."""
+    return base.withColumn("route_id", F.coalesce("route_id", F.lit(fv.UNKNOWN_ROUTE)))
+
+
+@query("stream_to_bronze", """
+SELECT event_id AS sequence_number, CAST(event_id AS VARCHAR) AS "offset", ingested_at AS enqueued_time,
+  id AS payload_id FROM hub""")
+def _(x: Inputs) -> DataFrame:
+    cfg = _lake(x)
+    messages_in = src.hub_messages(src.base_of(_event_stream(x)))
+    start_bronze_stream(messages_in, cfg, available_now=True).awaitTermination()
+    return storage.read_table(x.spark, cfg, medallion.HUB).select(
+        "sequence_number", "offset", "enqueued_time",
+        F.get_json_object("payload", "$.id").alias("payload_id"),
+    )
+
+
+@query("stream_append_flows", "SELECT * FROM flow_silver")
+def _(x: Inputs) -> DataFrame:
+    cfg = _lake(x)
+
+    def flow(name: str, rows: Callable[[DataFrame], DataFrame]) -> flows.Flow:
+        def go():
+            shaped = rows(src.base_of(_event_stream(x)))
+            checked = quality.expect_or_drop(shaped, quality.SILVER_FACT_RULES, name)
+            return flows.append_flow(name, checked, cfg)
+
+        return flows.Flow(name, go)
+
+    report = flows.run_flows([
+        flow("from_cosmos_batch", lambda b: facts.silver_from_batch(src.batch(b))),
+        flow("from_eventhub_stream", lambda b: facts.silver_from_hub(messages.parse_hub(src.hub_raw(b)))),
+    ])
+    if report.failures:
+        raise RuntimeError(str(report.failures))
+    return storage.read_table(x.spark, cfg, flows.SILVER)
+
+
+def _stored_run(x: Inputs, incremental: bool) -> LakeConfig:
+    cfg = _lake(x)
+    base = _named_routes(x.base)
+    storage.append(src.hub_raw(base), cfg, medallion.HUB, "hub")
+    records = src.route_records(x.spark, x.sf_dir).drop("supplier")
+    daily.run_daily(
+        x.spark, cfg, src.stored_docs(base), records, src.TODAY, src.now(), incremental=incremental
+    )
+    return cfg
+
+
+_STORED = """stored AS (
+  SELECT event_sk, coalesce(route_id, 'UNKNOWN') AS route_id, trip_id, event_ts, delay_sec, ingest_batch_id,
+    trip_id IS NOT NULL AND event_ts IS NOT NULL AS is_valid FROM silver)"""
+
+
+@query("daily_run_gold", f"""
+, {_STORED}
+SELECT CAST(event_ts AS DATE) AS kpi_date, route_id, count(*) AS trip_update_cnt, avg(delay_sec) AS avg_delay_sec,
+  CAST(quantile_disc(delay_sec, 0.95) AS DOUBLE) AS p95_delay_sec FROM stored WHERE is_valid GROUP BY 1, 2""")
+def _(x: Inputs) -> DataFrame:
+    return storage.read_table(x.spark, _stored_run(x, incremental=False), medallion.GOLD)
+
+
+@query("incremental_run_silver", f", {_STORED} SELECT * FROM stored")
+def _(x: Inputs) -> DataFrame:
+    return storage.read_table(x.spark, _stored_run(x, incremental=True), medallion.SILVER)

@@ -1,8 +1,7 @@
 """Keyed upsert as DataFrame algebra.
 
 A key with a NULL never equals anything, so such rows of the target stay and
-such rows of the source are added.  They also bypass the join: all NULL keys
-would hash to one task.
+such rows of the source are added.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,11 +17,14 @@ def _has_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def reject_duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fail when the source holds a non-null key twice: the update would be ambiguous."""
-    counts = source.filter(_has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = F.concat_ws(", ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys])
-    return counts.filter(F.when(F.col("_n") > 1, F.raise_error(repeated).cast("boolean")).otherwise(F.lit(True))).select(*keys)
+def reject_repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fail when a non-null key occurs twice: the update would be ambiguous."""
+    message = F.concat_ws(", ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys])
+    ambiguous = _has_key(keys) & (F.col("_n") > 1)
+    # The window is partitioned as the join that follows, so it adds no shuffle.
+    counted = source.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    failing = F.when(ambiguous, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.filter(failing).drop("_n")
 
 
 def upsert(
@@ -31,46 +33,47 @@ def upsert(
     keys: Sequence[str],
     set_cols: Sequence[str] | None = None,
     unique: bool = False,
+    null_keys: bool = True,
+    small_source: bool = False,
 ) -> DataFrame:
     """Target after an upsert by key.
 
     Without ``set_cols`` a matched row is replaced whole; with it only those
     columns change and an unmatched source row is inserted with all columns.
-    ``unique`` makes a repeated source key an error instead of two inserted rows.
+    ``unique`` makes a repeated source key an error.
+
+    Two switches choose the plan, never the result.  ``null_keys=False`` says that
+    NULL keys are rare: they then take part in the join, where they match nothing,
+    and each side is evaluated once; by default they go around it, because all of
+    them would hash to one task.  ``small_source`` replaces the full outer join,
+    which shuffles both sides, by an anti join on the source's keys: AQE turns it
+    into a broadcast when the keys measure small, and the target stays in place.
     """
     keys = list(keys)
     source = source.select(*target.columns)
-    if set_cols is None:
-        return _replace_rows(target, source, keys, unique)
-    return _set_columns(target, source, keys, list(set_cols), unique)
-
-
-def _replace_rows(target: DataFrame, source: DataFrame, keys: list[str], unique: bool) -> DataFrame:
     if unique:
-        source_keys = reject_duplicate_keys(source, keys)
-    else:
+        source = reject_repeated_keys(source, keys)
+    if small_source and set_cols is None:
         source_keys = source.filter(_has_key(keys)).select(*keys)
-    kept = target.filter(_has_key(keys)).join(source_keys, keys, "left_anti")
-    return kept.unionByName(target.filter(~_has_key(keys))).unionByName(source)
+        return target.join(source_keys, keys, "left_anti").select(*target.columns).unionByName(source)
+    changed = target.columns if set_cols is None else list(set_cols)
+    if not null_keys:
+        return _merge(target, source, keys, changed)
+    merged = _merge(target.filter(_has_key(keys)), source.filter(_has_key(keys)), keys, changed)
+    return merged.unionByName(target.filter(~_has_key(keys))).unionByName(source.filter(~_has_key(keys)))
 
 
-def _set_columns(
-    target: DataFrame, source: DataFrame, keys: list[str], set_cols: list[str], unique: bool
-) -> DataFrame:
-    keyed = source.filter(_has_key(keys))
-    if unique:
-        keyed = keyed.join(reject_duplicate_keys(source, keys), keys, "left_semi")
-    t = target.filter(_has_key(keys)).withColumn("_in_t", F.lit(True)).alias("t")
-    s = keyed.withColumn("_in_s", F.lit(True)).alias("s")
+def _merge(target: DataFrame, source: DataFrame, keys: list[str], changed: Sequence[str]) -> DataFrame:
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = source.withColumn("_in_s", F.lit(True)).alias("s")
     joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
 
     def value(name: str) -> Column:
-        from_source = in_s if name in set_cols else ~in_t
+        from_source = in_s if name in changed else ~in_t
         return F.when(from_source, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
 
-    merged = joined.select(*[value(c) for c in target.columns])
-    return merged.unionByName(target.filter(~_has_key(keys))).unionByName(source.filter(~_has_key(keys)))
+    return joined.select(*[value(c) for c in target.columns])
 
 
 def merge_sql(target: str, source_view: str, keys: Sequence[str], set_cols: Sequence[str] | None = None) -> str:
@@ -92,7 +95,7 @@ def advance_watermark(marks: DataFrame, key: str, new_ts: Column | int, now: Col
         new_mark.cast("bigint").alias("last_ts"),
         now.cast("timestamp").alias("updated_at"),
     )
-    return upsert(marks, row, ["source_key"])
+    return upsert(marks, row, ["source_key"], small_source=True)
 
 
 def append_if_absent(df: DataFrame, target: DataFrame, date_col: str = "snapshot_date") -> DataFrame:

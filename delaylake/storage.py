@@ -302,7 +302,11 @@ def publish(
 def upsert_table(
     source: DataFrame, cfg: LakeConfig, name: str, keys: Sequence[str], set_cols: Sequence[str] | None = None
 ) -> int | None:
-    """Upsert into a stored table: a new version, or ``MERGE`` on a row-level catalog."""
+    """Upsert into a stored table: a new version, or ``MERGE`` on a row-level catalog.
+
+    Keys of stored tables are never NULL in practice, so the source, often a whole
+    pipeline, is planned once and its partitioning by the key is reused.
+    """
     spark, spec = source.sparkSession, cfg.spec(name)
     if cfg.sql_catalog:
         staging = f"_staging_{name.replace('.', '_')}"
@@ -311,7 +315,7 @@ def upsert_table(
         return None
     target = read_stored(spark, cfg, name)
     checked = conform(source, stored_contract(spec))
-    return publish(upsert(target, checked, keys, set_cols), cfg, name)
+    return publish(upsert(target, checked, keys, set_cols, null_keys=False), cfg, name)
 
 
 def drop_old_versions(spark: SparkSession, cfg: LakeConfig, name: str, keep: int = 2) -> list[str]:

@@ -47,6 +47,8 @@ TABLES = {
         TableSpec("silver.dim_route", schemas.SILVER_DIM_ROUTE, "versions"),
         TableSpec("gold.route_delay_kpi_daily", schemas.GOLD_KPI, "versions",
                   ts_col="kpi_date", stale_hours=48),
+        TableSpec("docs.gtfs_rt_batch", schemas.DOC_STORE, "loads"),
+        TableSpec("docs.gtfs_rt_stream", schemas.DOC_STORE, "loads"),
         TableSpec("ops.run_log", schemas.RUN_LOG, "loads"),
         TableSpec("ops.commit_log", schemas.COMMIT_LOG, "loads"),
         TableSpec("flow.bronze_batch", schemas.FLOW_BRONZE_EVENTS, "stream"),

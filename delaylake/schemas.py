@@ -109,6 +109,8 @@ STORED_DOC = StructType(ENVELOPE.fields + [
         ("first_stop_delay_sec", _I), ("ingest_batch_id", _S), ("ingested_at", _S), ("_ts", _L),
     )
 ])
+# A document store: the document as text, its key and its modification second.
+DOC_STORE = _struct(("id", _S), ("route_id", _S), ("value", _S), ("_ts", _L))
 # What silver needs from a message, all as text so that one malformed field
 # becomes NULL without losing the others.
 MESSAGE_TEXT = _struct(

@@ -18,6 +18,11 @@ def read_messages(
     return spark.readStream.format("kafka").options(**options).option("startingOffsets", starting).load()
 
 
+def send_messages(values: DataFrame, options: Mapping[str, str], topic: str) -> None:
+    """Send message values to a broker topic, in parallel from the executors."""
+    values.write.format("kafka").options(**options).option("topic", topic).save()
+
+
 def shape_messages(messages: DataFrame, now: Column | None = None) -> DataFrame:
     """Bronze columns of a message frame: offset twice, arrival time, text, ingest time."""
     return messages.select(

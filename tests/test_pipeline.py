@@ -50,6 +50,32 @@ def test_document_load_is_incremental_and_repeatable(spark, cfg, docs):
     assert total == by_route == docs.count()
 
 
+def test_poll_cycles_feed_the_stores_and_the_daily_load(spark, cfg, base):
+    from delaylake.operators.upsert import upsert
+    from delaylake.sources.documents import trip_docs
+
+    entities = inputs.entities(base).select("id", "trip_update")
+    sent = []
+    t1, t2 = (F.lit(f"2024-01-31 00:00:{s}").cast("timestamp") for s in ("00", "30"))
+    first = ingest.ingest_cycle(spark, cfg, entities, "batch-1", t1, send=lambda df: sent.append(df.count()))
+    assert sent == [first["stream"]] and min(first.values()) > 0
+    assert sum(first.values()) == entities.filter("trip_update IS NOT NULL").count()
+    ingest.ingest_cycle(spark, cfg, entities, "batch-1", t1)  # repeated: nothing added
+    assert storage.read_table(spark, cfg, "docs.gtfs_rt_batch").count() == first["batch"]
+    # The next poll brings some of the same documents again.
+    part = entities.filter("id % 2 = 0")
+    ingest.ingest_cycle(spark, cfg, part, "batch-2", t2)
+    docs = ingest.stored_documents(spark, cfg)
+    old, new = (trip_docs(e, b, t).filter("metadata.segment = 'batch'").select("id", "route_id", "metadata.ingest_batch_id")
+                for e, b, t in ((entities, "batch-1", t1), (part, "batch-2", t2)))
+    by_upsert = upsert(old, new, ["id", "route_id"])
+    got = docs.select("id", "route_id", F.get_json_object("value", "$.metadata.ingest_batch_id").alias("b"))
+    assert rows(got) == rows(by_upsert)
+    assert ingest.load_documents(spark, cfg, docs, now=t2).rows == first["batch"]
+    jobs = {r["job"]: r["runs"] for r in health.job_health(spark, cfg, now()).collect()}
+    assert jobs["ingest_cycle"] == 2
+
+
 def test_crash_between_load_and_mark_does_not_load_twice(spark, cfg, docs, monkeypatch):
     def crash(*_a, **_k):
         raise RuntimeError("lost driver")

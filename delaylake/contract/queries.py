@@ -811,8 +811,8 @@ def _(x: Inputs) -> DataFrame:
         return flows.Flow(name, go)
 
     report = flows.run_flows([
-        flow("from_cosmos_batch", lambda b: facts.silver_from_batch(src.batch(b))),
-        flow("from_eventhub_stream", lambda b: facts.silver_from_hub(messages.parse_hub(src.hub_raw(b)))),
+        flow("batch_to_silver", lambda b: facts.silver_from_batch(src.batch(b))),
+        flow("hub_to_silver", lambda b: facts.silver_from_hub(messages.parse_hub(src.hub_raw(b)))),
     ])
     if report.failures:
         raise RuntimeError(str(report.failures))

@@ -2,41 +2,54 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from delaylake import fixed_values as fv
 from delaylake import storage
 from delaylake.config import LakeConfig
 from delaylake.operators import kpi, ranking, routes
 from delaylake.operators.combine import tag_source, union_sources
 from delaylake.operators.facts import to_stored_silver
 from delaylake.sources.messages import parse_hub
-from delaylake import fixed_values as fv
 
 EVENTS, HUB, REFERENCE = "bronze.gtfs_rt_events", "bronze.eventhub_gtfs_raw", "bronze.dim_route_ref"
 SILVER, DIM, GOLD = "silver.fact_trip_delay_event", "silver.dim_route", "gold.route_delay_kpi_daily"
 
 
-def stage_silver(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+def stage_silver(spark: SparkSession, cfg: LakeConfig, seen: Observation | None = None) -> DataFrame:
     """Silver rows of all of bronze, one per document."""
     events = union_sources(
         storage.read_table(spark, cfg, EVENTS), parse_hub(storage.read_table(spark, cfg, HUB))
     )
-    return to_stored_silver(ranking.dedup_latest(_with_id(events)))
+    return to_stored_silver(ranking.dedup_latest(_with_id(events, seen)))
 
 
-def _with_id(events: DataFrame) -> DataFrame:
+def _with_id(events: DataFrame, seen: Observation | None) -> DataFrame:
     # A row without id can never match in an upsert, so every re-run would add it
-    # again; unreadable messages end here and are counted by the bronze rules.
+    # again.  Such rows (unreadable messages among them) stay in bronze and are counted.
+    if seen is not None:
+        events = events.observe(seen, F.count_if(F.col("id").isNull()).alias("without_id"))
     return events.filter(F.col("id").isNotNull())
 
 
+def _log_rejected(spark: SparkSession, cfg: LakeConfig, seen: Observation) -> None:
+    rejected = seen.get["without_id"]
+    if rejected:
+        storage.log_runs(storage.run_row(
+            spark, "silver_without_id", uuid.uuid4().hex, F.current_timestamp(), "SUCCESS", rejected, None
+        ), cfg)
+
+
 def run_silver(spark: SparkSession, cfg: LakeConfig) -> int | None:
     """Upsert silver from all of bronze, keyed by the document id."""
-    version = storage.upsert_table(stage_silver(spark, cfg), cfg, SILVER, ["event_sk"])
+    seen = Observation()
+    version = storage.upsert_table(stage_silver(spark, cfg, seen), cfg, SILVER, ["event_sk"])
+    _log_rejected(spark, cfg, seen)
     if version is not None:
         storage.log_commit(spark, cfg, SILVER, version, "MERGE", None)
     return version
@@ -49,13 +62,15 @@ def merge_new_events(spark: SparkSession, cfg: LakeConfig, new: DataFrame) -> li
     stored winner carries the columns it was ranked by, so ranking it against the
     new rows gives what a rebuild from all of bronze would.
     """
-    rows = ranking.dedup_stored(to_stored_silver(_with_id(new))).persist(StorageLevel.MEMORY_AND_DISK)
+    seen = Observation()
+    rows = ranking.dedup_stored(to_stored_silver(_with_id(new, seen))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stored = storage.read_stored(spark, cfg, SILVER)
         ids = rows.select("event_sk")
         before = stored.select("event_sk", "event_date").join(ids, "event_sk", "left_semi")
         # A list of days: its length is bounded by the calendar, not by the data.
         days = [r[0] for r in before.select("event_date").union(rows.select("event_date")).distinct().collect()]
+        _log_rejected(spark, cfg, seen)
         if not days:
             return []
         touched = F.col("event_date").isin([d for d in days if d is not None])

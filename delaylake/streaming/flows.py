@@ -109,8 +109,8 @@ def silver_flows(spark: SparkSession, cfg: LakeConfig, max_files: int | None = N
         return Flow(name, go)
 
     return [
-        fed("from_cosmos_batch", "flow.bronze_batch", silver_from_batch),
-        fed("from_eventhub_stream", "flow.bronze_hub", lambda df: silver_from_hub(parse_hub(df))),
+        fed("batch_to_silver", "flow.bronze_batch", silver_from_batch),
+        fed("hub_to_silver", "flow.bronze_hub", lambda df: silver_from_hub(parse_hub(df))),
     ]
 
 

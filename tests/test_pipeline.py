@@ -204,6 +204,21 @@ def test_event_that_moves_to_another_day_leaves_the_old_one(spark, cfg):
     assert rows(storage.read_table(spark, cfg, medallion.GOLD), "kpi_date") == [(dt.date(2024, 1, 7),)]
 
 
+@pytest.mark.parametrize("incremental", [False, True])
+def test_rows_without_id_are_counted_and_not_repeated(spark, cfg, base, incremental):
+    raw = inputs.hub_raw(base)
+    broken = raw.limit(3).withColumn("payload", F.lit("not json"))
+    storage.append(raw.unionByName(broken), cfg, medallion.HUB, "hub-0")
+    for _ in range(2):
+        if incremental:
+            medallion.stream_silver(spark, cfg)
+        else:
+            medallion.run_silver(spark, cfg)
+        assert storage.read_table(spark, cfg, medallion.SILVER).count() == raw.count()
+    log = storage.read_table(spark, cfg, "ops.run_log").filter("job = 'silver_without_id'")
+    assert {r["rows"] for r in log.collect()} == {3}
+
+
 def test_gold_keeps_rows_that_vanish_from_silver(spark, cfg, docs):
     ingest.load_documents(spark, cfg, docs, now=now())
     medallion.run_silver(spark, cfg)

@@ -102,7 +102,7 @@ def test_declarative_pipeline_streams_equal_batch(spark, cfg, lake):
     gold = kpi.kpi_daily(kept, cast_p95=False)
     assert rows(storage.read_table(spark, cfg0, "flow.gold_kpi_daily")) == rows(gold)
     assert report.metrics["flow.bronze_batch"]["rows"] == storage.read_table(spark, cfg, medallion.EVENTS).count()
-    dropped = sum(report.metrics[f]["reasonable_delay"] for f in ("from_cosmos_batch", "from_eventhub_stream"))
+    dropped = sum(report.metrics[f]["reasonable_delay"] for f in ("batch_to_silver", "hub_to_silver"))
     counts = {r["rule"]: r["violations"] for r in quality.violation_counts(both, quality.SILVER_FACT_RULES).collect()}
     assert dropped == counts["reasonable_delay"] > 0
     assert report.metrics["flow.gold_kpi_daily"]["positive_trip_count"] == 0
@@ -144,7 +144,7 @@ def test_a_failing_flow_leaves_the_other_running(spark, cfg, lake):
 
 def test_timed_trigger_is_passed(spark, cfg, messages):
     _, stream, _ = messages
-    query = bronze.start_bronze_stream(stream(), cfg, trigger="30 seconds")
+    query = bronze.start_bronze_stream(stream(), cfg, trigger="1 second")
     try:
         query.processAllAvailable()
         assert storage.read_table(spark, cfg, medallion.HUB).count() > 0

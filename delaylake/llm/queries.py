@@ -7,15 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylake.llm import mixing, sharding
+from delaylake.llm import (
+    decontamination, exact_dedup, mixing, near_dedup, pii, secrets, sharding, substring_dedup,
+)
 
 SHARDS = 8
+PSEUDONYM_KEY = "registered query"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document."""
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "stop", "edits")
+
+
 def op2_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards whose row counts are at most one apart."""
     text = F.coalesce("text", F.lit(""))
@@ -38,7 +47,46 @@ def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with pseudonyms in place of personal data."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(rows, PSEUDONYM_KEY)
+
+
+def op4_secret_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; base_sha256 covers the plain patterns, spans also what was confirmed by structure."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"), "n_key", "n_token",
+    )
+
+
+def op5_golomb_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which row of equal texts each document keeps."""
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
+
+
+def op8_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components on two-word shingles."""
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def op10_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document without windows of 13 words that an earlier document has."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=13)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_hypergeometric_shards, op6_mixture)
+    f.__name__: f
+    for f in (
+        op1_qgram_decontamination, op2_hypergeometric_shards, op3_feistel_pseudonyms, op4_secret_structure, op5_golomb_dedup,
+        op6_mixture, op8_fast_sketch_dedup, op10_super_kmer_dedup,
+    )
 }
 ORACLES: dict[str, str] = {}

@@ -8,12 +8,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylake.llm import mixing, sharding
+from delaylake.llm import decontamination, mixing, near_dedup, sharding, toxicity
 from delaylake.llm.shared import col, shared_folder
 
 N_SHARDS = 8
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold of their language; the classifier learns from the labels of sf_dir."""
+    model = toxicity.fit(toxicity.labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return toxicity.reject(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the smallest id."""
+    return near_dedup.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them: not at all, once or twice."""
     mixed = mixing.mix(docs, mixing.word_count(F.col("text")), n_shards=N_SHARDS)
@@ -26,6 +42,9 @@ def shuffle_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
     ("sharding", shuffle_into_shards),
 ]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylake.llm.shared import col
+from delaylake.llm.shared import col, free_name
 from delaylake.llm.words import chunks, span_hash, sums
 
 Q = 8
@@ -229,5 +229,6 @@ def in_block(docs: DataFrame, items: Items) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows whose text holds no benchmark item, with all their columns; rows without id stay."""
-    found = contamination(docs, benchmark, text, doc_id, **options).select(F.col("id").alias("_found_id")).distinct()
-    return docs.join(found, col(doc_id).cast("long") == F.col("_found_id"), "left_anti")
+    held = free_name(docs, "found_id")
+    found = contamination(docs, benchmark, text, doc_id, **options).select(F.col("id").alias(held)).distinct()
+    return docs.join(found, col(doc_id).cast("long") == col(held), "left_anti")

@@ -94,26 +94,24 @@ def mix(
     input columns with the names of the new ones are replaced.
     """
     new = ("size", "source_size", "target", "copies", "shards")
-    key, block, run = "_mix_key", "_mix_block", "_mix_run"
-    while {key, block, run} & {c.lower() for c in docs.columns}:
-        key, block, run = f"_{key}", f"_{block}", f"_{run}"
+    key, block, run, whole, part = (free_name(docs, f"mix_{n}") for n in ("key", "block", "run", "whole", "part"))
     sized = docs.withColumn("size", size.cast("long")).drop(*[c for c in docs.columns if c.lower() in new[1:]])
-    named = [c for c in hashable(docs)] or [F.lit(0)]
+    named = hashable(sized)
     sized = sized.withColumns({
         key: F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source).cast("string"))),
         block: F.pmod(F.xxhash64(F.lit(seed), *named), F.lit(blocks)).cast("int"),
     })
-    stats = sized.groupBy(col(key).alias("key"), col(block).alias("block")).agg(F.sum("size").alias("words"), F.first(F.col(source)).alias("source"))
-    sizes = stats.groupBy("key").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
+    stats = sized.groupBy(col(key).alias("key"), col(block).alias("block")).agg(F.sum("size").alias("words"), F.max(F.col(source)).alias("source"))
+    sizes = stats.groupBy("key").agg(F.max("source").alias("source"), F.sum("words").alias("source_size"))
     drawn = draw_blocks(stats.select("key", "block", "words"), targets(sizes, weights, share, cap), n_shards, seed)
-    drawn = drawn.withColumnsRenamed({"key": key, "block": block, "whole": "_mix_whole", "part": "_mix_part"})
+    drawn = drawn.withColumnsRenamed({"key": key, "block": block, "whole": whole, "part": part})
     inside = W.partitionBy(col(key), col(block)).orderBy(F.xxhash64(F.lit(seed + 1), *named), *named)
     ran = sized.withColumn(run, F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow)))
     # A document is taken if its middle lies inside the quota, so the cut misses it by half a document at most.
-    more = F.coalesce((2 * col(run) - F.col("size") <= 2 * F.col("_mix_part")).cast("long"), F.lit(0).cast("long"))
-    out = ran.join(drawn, [key, block]).withColumn("copies", (F.col("_mix_whole") + more).cast("int"))
+    more = F.coalesce((2 * col(run) - F.col("size") <= 2 * col(part)).cast("long"), F.lit(0).cast("long"))
+    out = ran.join(drawn, [key, block]).withColumn("copies", (col(whole) + more).cast("int"))
     out = out.withColumn("shards", F.slice(F.coalesce(F.col("shards"), F.array().cast("array<int>")), 1, F.col("copies")))
-    return out.drop(key, block, run, "_mix_whole", "_mix_part")
+    return out.drop(key, block, run, whole, part)
 
 
 def drawn_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylake.llm.components import connected_components
-from delaylake.llm.shared import col, cut
+from delaylake.llm.shared import col, cut, free_name
 from delaylake.llm.words import chunks, mix, ngrams, words_of
 
 BANDS, ROWS = 32, 5
@@ -192,3 +192,10 @@ def near_duplicates(
     found = rows_of.select("id", *key).join(reps, key, "left")
     component = F.coalesce("comp", "rep", "id")
     return found.select("id", "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The rows that stay, with all their columns: of each group of near duplicates those of the smallest id; rows without id stay."""
+    held = free_name(docs, "gone_id")
+    gone = near_duplicates(docs, text, doc_id, **options).filter("NOT kept").select(F.col("id").alias(held)).distinct()
+    return docs.join(gone, col(doc_id).cast("long") == col(held), "left_anti")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaylake.llm.shared import col
+from delaylake.llm.shared import col, free_name
 
 ROUNDS = 8
 # Formats, tried in this order at each place.
@@ -191,9 +191,10 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         lambda v: F.transform(F.array(kind_of(v)), lambda k: F.struct(k.alias("kind"), pseudonym(v, k, key).alias("new")))[0],
     )
     parts = F.split(held, PATTERN, -1)
-    kept = docs.drop(*[c for c in docs.columns if c.lower() in ("n_values", "_pii_found") and c != text])
+    spot = free_name(docs, "pii_found")
+    kept = docs.drop(*[c for c in docs.columns if c.lower() == "n_values" and c != text])
     # The one-element explode keeps the finds from being worked out again for every use.
-    rows = kept.withColumn("_pii_found", F.explode(F.array(F.when(held.rlike(PATTERN), found))))
-    woven = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get("_pii_found", i)["new"], F.lit("")))), "")
-    count = F.coalesce(F.size(F.filter("_pii_found", lambda x: x["kind"].isNotNull())), F.lit(0))
-    return rows.withColumns({text: F.when(F.col("_pii_found").isNotNull(), woven).otherwise(col(text)), "n_values": F.when(F.col("_pii_found").isNull(), 0).otherwise(count)}).drop("_pii_found")
+    rows = kept.withColumn(spot, F.explode(F.array(F.when(held.rlike(PATTERN), found))))
+    woven = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(col(spot), i)["new"], F.lit("")))), "")
+    count = F.coalesce(F.size(F.filter(col(spot), lambda x: x["kind"].isNotNull())), F.lit(0))
+    return rows.withColumns({text: F.when(col(spot).isNotNull(), woven).otherwise(col(text)), "n_values": F.when(col(spot).isNull(), 0).otherwise(count)}).drop(spot)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake.llm import (
-    decontamination, exact_dedup, mixing, near_dedup, pii, secrets, sharding, substring_dedup,
+    decontamination, exact_dedup, html_text, mixing, near_dedup, pii, secrets, sharding, substring_dedup, toxicity,
 )
 
 SHARDS = 8
@@ -70,12 +70,28 @@ def op5_golomb_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
 
 
+def op7_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components on two-word shingles."""
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op9_convolution_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
+    found = toxicity.score(docs, model)
+    return found.select(
+        F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op10_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document without windows of 13 words that an earlier document has."""
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=13)
@@ -86,7 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_qgram_decontamination, op2_hypergeometric_shards, op3_feistel_pseudonyms, op4_secret_structure, op5_golomb_dedup,
-        op6_mixture, op8_fast_sketch_dedup, op10_super_kmer_dedup,
+        op6_mixture, op7_min_cut_text, op8_fast_sketch_dedup, op9_convolution_toxicity, op10_super_kmer_dedup,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -84,12 +84,15 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds - bounds[0] if len(texts) else np.zeros(1, np.int64)
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """Words are runs of anything but space and 0x09 to 0x0D. lower: A to Z become a to z."""
+def words_of(texts: pa.Array, lower: bool = False, letters: bool = False) -> Words:
+    """Words are runs of anything but space and 0x09 to 0x0D. lower: A to Z become a to z. letters: ASCII punctuation and controls part words too."""
     data, bounds = bytes_of(texts)
     if lower:
         data = data + ((data - np.uint8(65)) < 26).astype(np.uint8) * np.uint8(32)
-    word = ((data - np.uint8(9)) > 4) & (data != 32)
+    if letters:
+        word = (data >= 128) | ((data - np.uint8(48)) < 10) | (((data | np.uint8(32)) - np.uint8(97)) < 26)
+    else:
+        word = ((data - np.uint8(9)) > 4) & (data != 32)
     begins, ends = word.copy(), word.copy()
     begins[1:] &= ~word[:-1]
     ends[:-1] &= ~word[1:]

@@ -21,8 +21,8 @@ from delaylake.llm.shared import col
 from delaylake.llm.words import Words, chunks, mix, span_hash, sums, words_of
 
 SEED_WORDS = 3
-BUCKET_BYTES = 24 << 20
-RUN_BYTES = 8 << 20
+BUCKET_BYTES = 12 << 20
+RUN_BYTES = 4 << 20
 PACKED = "bucket int, strings binary, code binary, doc binary, at binary"
 
 

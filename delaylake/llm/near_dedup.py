@@ -5,9 +5,10 @@ t coordinates: in each of the first t rounds every shingle falls into a hashed b
 round t + j then sends every shingle to bin j, so each coordinate fills. Bands of coordinates are bucket keys.
 
 Documents with equal sets form a class, its smallest id stands for it. In a bucket, members are compared with one pivot, not with each other;
-further rounds take other pivots for what is not yet connected, and a last round compares the members of
-one bucket that still lie in different components. Every link is confirmed on the full sets. Connected documents need
-no further comparison, so large groups of copies cost rows in proportion to their size.
+further rounds take other pivots for what is not yet connected. Documents that share a bucket with many of a component
+but have no link yet are then compared with that component block by block inside tasks, and what else shares a bucket
+in pairs, once each, if the sketches allow the similarity. Every link is confirmed on the full sets. Connected documents
+need no further comparison, so large groups of copies cost rows in proportion to their size.
 """
 
 from __future__ import annotations
@@ -25,7 +26,12 @@ from delaylake.llm.words import chunks, mix, ngrams, words_of
 
 BANDS, ROWS = 32, 5
 PIVOT_ROUNDS = 2
-SKETCH = "id long, n_shingles long, set_a long, set_b long, bands array<long>"
+# Members of a component in one bucket from which on it is compared in blocks; this chooses the plan, not the result.
+BLOCK_LEAST = 32
+BLOCK_BYTES = 1 << 20
+# One bit of each coordinate estimates a similarity; pairs are left out only this many deviations below the least one.
+DEVIATIONS = 4.5
+SKETCH = "id long, n_shingles long, set_a long, set_b long, bands array<long>, signs array<long>"
 
 
 def distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +76,13 @@ def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
+def sign_bits(table: np.ndarray) -> np.ndarray:
+    """The lowest bit of every mixed coordinate, 64 to a number."""
+    bits = (mix(table) & np.uint64(1)).astype(np.uint8)
+    bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 64)))
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 def sketches(docs: DataFrame, text: str, doc_id: str, shingle: int, bands: int, rows: int) -> DataFrame:
     """Size, 128-bit fingerprint of the set and band keys of each document."""
 
@@ -84,13 +97,14 @@ def sketches(docs: DataFrame, text: str, doc_id: str, shingle: int, bands: int,
             if len(items):
                 prints[0, some] = np.add.reduceat(mix(items ^ np.uint64(0x1234567)), first[some])
                 prints[1, some] = np.bitwise_xor.reduceat(mix(items + np.uint64(0x89ABCDEF)), first[some])
-            keys = band_keys(sketch(items, owner, n, bands * rows), bands, rows)
+            table = sketch(items, owner, n, bands * rows)
+            keys, signs = band_keys(table, bands, rows), sign_bits(table)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), pa.array(size.astype(np.int64)), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.view(np.int64).ravel())),
+                    *(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel())) for x in (keys, signs)),
                 ],
-                ["id", "n_shingles", "set_a", "set_b", "bands"],
+                ["id", "n_shingles", "set_a", "set_b", "bands", "signs"],
             )
 
     return docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("text")).mapInArrow(run, SKETCH)
@@ -129,6 +143,42 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long").distinct()
 
 
+def in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(comp, id) to (comp, held): the sets of a component in blocks of about BLOCK_BYTES, a longer set alone."""
+    m = members.join(sets, "id").withColumn("bytes", F.octet_length("items"))
+    n = m.groupBy("comp").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
+    m = m.join(n, "comp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("n")))
+    return m.groupBy("comp", "part").agg(F.collect_list(F.struct("id", "items")).alias("held")).select("comp", "held")
+
+
+def confirm_blocks(members: DataFrame, seekers: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the seekers and the members of each component."""
+    both = in_blocks(members, sets).join(in_blocks(seekers, sets).withColumnRenamed("held", "sought"), "comp").select("held", "sought")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for held, sought in zip(batch.column("held").to_pylist(), batch.column("sought").to_pylist(), strict=True):
+                ids = np.array([r["id"] for r in held])
+                sets = [np.frombuffer(r["items"], np.uint64) for r in held]
+                size = np.array([len(x) for x in sets])
+                items, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+                order = np.argsort(items)
+                items, owner = items[order], owner[order]
+                for r in sought:
+                    x = np.frombuffer(r["items"], np.uint64)
+                    low, high = np.searchsorted(items, x, "left"), np.searchsorted(items, x, "right")
+                    at = np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low) + np.arange((high - low).sum())
+                    shared = np.bincount(owner[at], minlength=len(ids))
+                    for other in ids[100 * shared >= percent * (size + len(x) - shared)]:
+                        if other != r["id"]:
+                            a.append(min(int(other), r["id"]))
+                            b.append(max(int(other), r["id"]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
 def pivot_pairs(buckets: DataFrame, turn: int) -> DataFrame:
     """(bucket, id, size, comp) to pairs of each bucket's pivot with its members of other components and like size."""
     order = F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), "bucket", "id")
@@ -148,6 +198,29 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
+def last_links(placed: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, t: int) -> DataFrame:
+    """Links between members of one bucket whose components no pivot has joined."""
+    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    torn = parts.groupBy("bucket").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top")).filter("comps > 1")
+    main = torn.select("bucket", F.when(F.col("top.n") >= BLOCK_LEAST, F.col("top.comp")).alias("main"))
+    rest = cut(placed.join(main, "bucket").filter("main IS NULL OR comp <> main"))
+
+    seekers = rest.filter("main IS NOT NULL").select(F.col("main").alias("comp"), "id").distinct()
+    found = confirm_blocks(labels.join(seekers.select("comp").distinct(), "comp", "left_semi"), seekers, sets, percent)
+
+    # Each pair once: in the first band that its members share.
+    x = rest.join(classes.select("id", "bands", "signs"), "id").select("bucket", "id", "size", "comp", "bands", "signs")
+    y = x.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("size", "comp", "bands", "signs")], F.col("id").alias("a"))
+    first = F.element_at(F.filter(F.zip_with("bands", "bands_a", lambda p, q: F.when(p == q, p)), lambda v: v.isNotNull()), 1)
+    unlike = F.aggregate(F.zip_with("signs", "signs_a", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, v: n + v)
+    q = (1 - percent / 100) / 2
+    most = t * q + DEVIATIONS * (t * q * (1 - q)) ** 0.5
+    pairs = x.join(y, "bucket").filter(
+        (F.col("comp") != F.col("comp_a")) & (F.col("a") < F.col("id")) & like_size("size", "size_a", percent) & (unlike <= F.lit(most)) & (first == F.col("bucket"))
+    )
+    return found.union(confirm(ordered(pairs), sets, percent))
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -161,7 +234,8 @@ def near_duplicates(
     docs = docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("text")).filter("id IS NOT NULL")
     rows_of = cut(sketches(docs, "text", "id", shingle, bands, rows))
     key = ["n_shingles", "set_a", "set_b"]
-    classes = rows_of.filter("n_shingles > 0").groupBy(*key).agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
+    classes = cut(rows_of.filter("n_shingles > 0").groupBy(*key).agg(F.min("id").alias("id"), F.min("bands").alias("bands"), F.min("signs").alias("signs")))
+    rows_of = rows_of.select("id", *key)
 
     # With fewer than percent / (100 - percent) shingles, only equal sets are similar enough.
     least = percent // max(1, 100 - percent)
@@ -171,20 +245,13 @@ def near_duplicates(
     members = buckets.select("id").distinct()
     sets = cut(shingle_sets(docs.join(members, "id", "left_semi"), shingle))
 
-    labels = members.withColumn("comp", F.col("id"))
-    links = None
+    labels, links = members.withColumn("comp", F.col("id")), None
     for turn in range(PIVOT_ROUNDS + 1):
         placed = buckets.join(labels, "id")
         if turn < PIVOT_ROUNDS:
-            pairs = pivot_pairs(placed, turn)
+            found = confirm(ordered(pivot_pairs(placed, turn).filter(like_size("size", "size_a", percent))), sets, percent)
         else:
-            # What is left: members of one bucket whose components no pivot has joined.
-            torn = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("bucket")
-            rest = placed.join(torn, "bucket")
-            other = rest.select("bucket", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("comp").alias("comp_a"))
-            pairs = rest.join(other, "bucket").filter((F.col("comp") != F.col("comp_a")) & (F.col("a") < F.col("id")))
-        pairs = ordered(pairs.filter(like_size("size", "size_a", percent)))
-        found = confirm(pairs, sets, percent)
+            found = last_links(placed, labels, classes, sets, percent, bands * rows)
         links = cut(found if links is None else links.union(found))
         labels = connected_components(links)
         labels = cut(members.join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")))

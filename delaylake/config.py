@@ -51,6 +51,7 @@ TABLES = {
         TableSpec("docs.gtfs_rt_stream", schemas.DOC_STORE, "loads"),
         TableSpec("ops.run_log", schemas.RUN_LOG, "loads"),
         TableSpec("ops.commit_log", schemas.COMMIT_LOG, "loads"),
+        TableSpec("ops.changed_days", schemas.CHANGED_DAYS, "loads"),
         TableSpec("flow.bronze_batch", schemas.FLOW_BRONZE_EVENTS, "stream"),
         TableSpec("flow.bronze_hub", schemas.FLOW_BRONZE_HUB, "stream"),
         TableSpec("flow.silver_fact", schemas.FLOW_SILVER_FACT, "loads"),
@@ -83,8 +84,14 @@ class LakeConfig:
         base = f"{self.root}/{self.catalog}/{layer}/{table.lstrip('_')}"
         return f"{base}/g{self.generation}" if layer == "flow" else base
 
-    def checkpoint(self, flow: str) -> str:
-        return f"{self.root}/{self.catalog}/checkpoints/{flow}/g{self.generation}"
+    def checkpoint(self, flow: str, refreshed: bool = False) -> str:
+        """``refreshed`` flows start anew with each generation; bronze and silver go on."""
+        home = f"{self.root}/{self.catalog}/checkpoints/{flow}"
+        return f"{home}/g{self.generation}" if refreshed else home
+
+    def generations(self) -> str:
+        """Where the current generation is kept."""
+        return f"{self.root}/{self.catalog}/generations"
 
     def sql_name(self, name: str) -> str:
         layer, table = name.split(".", 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -770,8 +769,8 @@ def _(x: Inputs) -> DataFrame:
 
 
 def _lake(x: Inputs) -> LakeConfig:
-    """A new lake in the cluster's shared folder (a temporary one where none is set)."""
-    root = shared_dir(x.spark, "") or tempfile.mkdtemp(prefix="delaylake-")
+    """A new lake in the cluster's shared folder (under the warehouse where none is set)."""
+    root = shared_dir(x.spark, x.spark.conf.get("spark.sql.warehouse.dir") + "/_lakes")
     return LakeConfig(root=f"{root}/{uuid.uuid4().hex}")
 
 

@@ -61,3 +61,9 @@ FALLBACK_ROUTES = [
     ("H", "S", "Rockaway Park Shuttle", "SUBWAY"),
     ("SI", "SIR", "Staten Island Railway", "RAILWAY"),
 ]
+
+# Accepted feed times: 2000-01-01 to before 2100-01-01, in epoch seconds.
+FEED_TIME_RANGE = (946_684_800, 4_102_444_800)
+
+# Longest expected run of a job, in milliseconds.
+RUN_LIMIT_MS = 1_800_000.0

@@ -119,8 +119,8 @@ def kpi_date(ts: ColumnOrName = "event_ts") -> Column:
 
 
 def kpi_date_by_text(ts: ColumnOrName = "event_ts") -> Column:
-    """Day of an event through its date text; same day as the cast."""
-    return F.date_format(_c(ts), "yyyy-MM-dd").cast("date")
+    """Day of an event in the declarative variant; its date text names the same day as the cast."""
+    return kpi_date(ts)
 
 
 def hour_utc(ts: ColumnOrName = "event_ts") -> Column:

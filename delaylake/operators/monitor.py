@@ -58,6 +58,11 @@ def freshness(tables: Iterable[tuple[str, DataFrame, str, int]], now: Column) ->
     return union_all([one(*t) for t in tables])
 
 
+def overlong_runs(run_log: DataFrame, limit_ms: float = fv.RUN_LIMIT_MS) -> DataFrame:
+    """Finished runs that took longer than a job may."""
+    return run_log.filter(F.col("latency_ms") > limit_ms)
+
+
 def run_health(run_log: DataFrame, jobs: DataFrame, now: Column, hours: int = 24) -> DataFrame:
     """Runs of each listed job by outcome over the last hours, and a status."""
     started = F.col("started_at") >= now.cast("timestamp") - F.expr(f"INTERVAL {hours} HOURS")
@@ -80,13 +85,14 @@ def run_health(run_log: DataFrame, jobs: DataFrame, now: Column, hours: int = 24
     return filled.withColumn("status", status)
 
 
-def recent_ops(commit_logs: Mapping[str, DataFrame] | DataFrame, n: int = 5) -> DataFrame:
+def recent_ops(commit_logs: Mapping[str, DataFrame] | DataFrame, n: int = 5, order: str = "version") -> DataFrame:
     """The last ``n`` operations of each table, from one log or one per table."""
     if isinstance(commit_logs, DataFrame):
         log = commit_logs
     else:
         log = union_all([df.withColumn("table_name", F.lit(t)) for t, df in commit_logs.items()])
-    return last_n_per(log, "table_name", "version", n)
+    # Loads and versions of one table are numbered apart; time orders both.
+    return last_n_per(log, "table_name", order, n)
 
 
 def health_report(fresh: DataFrame, runs: DataFrame, profile: DataFrame) -> DataFrame:

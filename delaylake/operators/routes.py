@@ -15,10 +15,12 @@ ATTRIBUTES = ("route_id", "route_short_name", "route_long_name", "route_type")
 
 def fallback_routes(spark: SparkSession) -> DataFrame:
     """The fixed mapping as a frame of 27 rows."""
-    return spark.createDataFrame(
+    rows = spark.createDataFrame(
         fv.FALLBACK_ROUTES,
         "route_id string, route_short_name string, route_long_name string, route_type string",
     )
+    # A literal, so its broadcast cannot grow; other mappings are left to AQE.
+    return F.broadcast(rows)
 
 
 def latest_routes(ref: DataFrame) -> DataFrame:
@@ -54,8 +56,7 @@ def fact_only_routes(bronze: DataFrame, ref_routes: DataFrame) -> DataFrame:
 
 def with_fallback(routes: DataFrame, fallback: DataFrame) -> DataFrame:
     """Attributes from the mapping; short name defaults to the id, type to UNKNOWN."""
-    # The mapping is a fixed literal of 27 rows, so its broadcast cannot grow.
-    joined = routes.join(F.broadcast(fallback), "route_id", "left")
+    joined = routes.join(fallback, "route_id", "left")
     return joined.select(
         "route_id",
         F.coalesce("route_short_name", "route_id").alias("route_short_name"),
@@ -85,7 +86,7 @@ def dim_route(bronze: DataFrame, ref: DataFrame, fallback: DataFrame, today: Col
     seen = non_null(first_seen(bronze))
     tiers = latest_routes(ref).withColumn("_listed", F.lit(True)).join(seen, "route_id", "full_outer")
     mapped = fallback.select("route_id", *[F.col(c).alias(f"_f_{c}") for c in ATTRIBUTES[1:]])
-    joined = tiers.join(F.broadcast(mapped), "route_id", "left")
+    joined = tiers.join(mapped, "route_id", "left")
 
     def pick(name: str, default: Column) -> Column:
         other = F.coalesce(F.col(f"_f_{name}"), default)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,13 +18,17 @@ def _has_key(keys: Sequence[str]) -> Column:
 
 
 def reject_repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fail when a non-null key occurs twice: the update would be ambiguous."""
+    """Fail when a non-null key occurs twice: the update would be ambiguous.
+
+    Keys are counted by a partial aggregate, so a hot key sends one row per task.
+    """
     message = F.concat_ws(", ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys])
-    ambiguous = _has_key(keys) & (F.col("_n") > 1)
-    # The window is partitioned as the join that follows, so it adds no shuffle.
-    counted = source.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    failing = F.when(ambiguous, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return counted.filter(failing).drop("_n")
+    repeated = source.filter(_has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    # An empty branch of the union that raises for every repeated key.
+    failing = repeated.filter(F.raise_error(message).cast("boolean"))
+    shape = {f.name: f.dataType for f in source.schema.fields}
+    empty = failing.select(*[(F.col(c) if c in keys else F.lit(None)).cast(t).alias(c) for c, t in shape.items()])
+    return source.unionByName(empty)
 
 
 def upsert(
@@ -34,39 +38,32 @@ def upsert(
     set_cols: Sequence[str] | None = None,
     unique: bool = False,
     null_keys: bool = True,
-    small_source: bool = False,
 ) -> DataFrame:
-    """Target after an upsert by key.
+    """Target after an upsert by key: one full outer join, each side evaluated once.
 
     Without ``set_cols`` a matched row is replaced whole; with it only those
     columns change and an unmatched source row is inserted with all columns.
     ``unique`` makes a repeated source key an error.
 
-    Two switches choose the plan, never the result.  ``null_keys=False`` says that
-    NULL keys are rare: they then take part in the join, where they match nothing,
-    and each side is evaluated once; by default they go around it, because all of
-    them would hash to one task.  ``small_source`` replaces the full outer join,
-    which shuffles both sides, by an anti join on the source's keys: AQE turns it
-    into a broadcast when the keys measure small, and the target stays in place.
+    A row whose key has a NULL matches nothing.  Such rows are spread over the tasks
+    by a hash of the whole row, which is part of the join key and constant for all others.
+    ``null_keys=False`` says that there are hardly any: the join is then on the key
+    alone and reuses a partitioning that the source already has.
     """
     keys = list(keys)
     source = source.select(*target.columns)
     if unique:
         source = reject_repeated_keys(source, keys)
-    if small_source and set_cols is None:
-        source_keys = source.filter(_has_key(keys)).select(*keys)
-        return target.join(source_keys, keys, "left_anti").select(*target.columns).unionByName(source)
     changed = target.columns if set_cols is None else list(set_cols)
-    if not null_keys:
-        return _merge(target, source, keys, changed)
-    merged = _merge(target.filter(_has_key(keys)), source.filter(_has_key(keys)), keys, changed)
-    return merged.unionByName(target.filter(~_has_key(keys))).unionByName(source.filter(~_has_key(keys)))
 
+    def side(df: DataFrame, mark: str, name: str) -> DataFrame:
+        spread = F.when(_has_key(keys), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*df.columns))
+        return df.withColumns({mark: F.lit(True), "_spread": spread if null_keys else F.lit(0).cast("bigint")}).alias(name)
 
-def _merge(target: DataFrame, source: DataFrame, keys: list[str], changed: Sequence[str]) -> DataFrame:
-    t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = source.withColumn("_in_s", F.lit(True)).alias("s")
-    joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
+    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    if null_keys:
+        on.append(F.col("t._spread") == F.col("s._spread"))
+    joined = side(target, "_in_t", "t").join(side(source, "_in_s", "s"), on, "full_outer")
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
 
     def value(name: str) -> Column:
@@ -95,7 +92,7 @@ def advance_watermark(marks: DataFrame, key: str, new_ts: Column | int, now: Col
         new_mark.cast("bigint").alias("last_ts"),
         now.cast("timestamp").alias("updated_at"),
     )
-    return upsert(marks, row, ["source_key"], small_source=True)
+    return upsert(marks, row, ["source_key"])
 
 
 def append_if_absent(df: DataFrame, target: DataFrame, date_col: str = "snapshot_date") -> DataFrame:

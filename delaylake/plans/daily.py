@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaylake import storage
 from delaylake.config import LakeConfig
 from delaylake.plans import export, medallion
 from delaylake.plans.ingest import LoadResult, load_documents, load_reference
@@ -25,17 +27,21 @@ def run_daily(
     """Both branches, joined at the KPIs, then the export where a database is given.
 
     ``incremental`` merges only what bronze gained since the last run and
-    recomputes only the changed days; the tables come out the same.
+    recomputes only the changed days, those of an interrupted earlier run included; the
+    tables come out the same. A run that raises leaves a FAILED row in the run log.
     """
-    loaded = load_documents(spark, cfg, docs, now=now)
-    if incremental:
-        days = medallion.stream_silver(spark, cfg)
-    else:
-        medallion.run_silver(spark, cfg)
-        days = None
-    load_reference(spark, cfg, routes, snapshot_date, now)
-    medallion.run_dimension(spark, cfg, F.lit(snapshot_date).cast("date"))
-    medallion.run_gold(spark, cfg, days)
-    if jdbc:
-        export.export_all(spark, cfg, jdbc)
-    return loaded
+    with storage.failures_logged(spark, cfg, "daily_run", uuid.uuid4().hex):
+        loaded = load_documents(spark, cfg, docs, now=now)
+        if incremental:
+            medallion.stream_silver(spark, cfg)
+        else:
+            medallion.run_silver(spark, cfg)
+        load_reference(spark, cfg, routes, snapshot_date, now)
+        medallion.run_dimension(spark, cfg, F.lit(snapshot_date).cast("date"))
+        if incremental:
+            medallion.run_pending_gold(spark, cfg)
+        else:
+            medallion.run_gold(spark, cfg)
+        if jdbc:
+            export.export_all(spark, cfg, jdbc)
+        return loaded

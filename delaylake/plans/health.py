@@ -35,7 +35,7 @@ def job_health(
 
 def operations(spark: SparkSession, cfg: LakeConfig, n: int = 5) -> DataFrame:
     """Recent operations of the main tables."""
-    return monitor.recent_ops(storage.read_table(spark, cfg, "ops.commit_log"), n)
+    return monitor.recent_ops(storage.read_table(spark, cfg, "ops.commit_log"), n, order="ts")
 
 
 def report(spark: SparkSession, cfg: LakeConfig, now: Column | None = None) -> DataFrame:

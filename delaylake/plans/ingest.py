@@ -21,7 +21,6 @@ from delaylake.sources.documents import (
     incremental_slice,
     parse_docs,
     route_docs,
-    to_messages,
     trip_docs,
 )
 from delaylake.sources.reference import route_snapshot
@@ -51,24 +50,18 @@ def ingest_cycle(
     """One poll of the feed: documents into the store of their segment, streamed ones also sent.
 
     A store gains one load per poll; the upsert by (id, route_id) happens when the
-    store is read.  Repeating a batch id adds nothing.  ``send`` takes the message
-    values.  Returns the documents per store.
+    store is read.  One instant holds for the whole poll.  ``send`` takes the message values, read from the
+    stored load.  Repeating a batch id stores and sends nothing.  Returns the documents added per store.
     """
     t0 = time.time()
-    now = F.current_timestamp() if now is None else now
-    docs = trip_docs(entities, batch_id, now, mode, stream_ids)
-    counts = {}
-    for segment, part in zip(("batch", "stream"), route_docs(docs), strict=True):
-        seen = Observation()
-        stored = part.select(
-            "id", "route_id", F.to_json(F.struct("*")).alias("value"),
-            F.unix_seconds(now.cast("timestamp")).alias("_ts"),
-        ).observe(seen, F.count(F.lit(1)).alias("rows"))
-        staged = storage.stage_load(stored, cfg, STORES[segment])
-        storage.place_load(spark, cfg, STORES[segment], staged, batch_id)
-        counts[segment] = seen.get["rows"]
-        if segment == "stream" and send is not None:
-            send(to_messages(part))
+    now = storage.instant() if now is None else now
+    with storage.failures_logged(spark, cfg, "ingest_cycle", batch_id):
+        docs = trip_docs(entities, batch_id, now, mode, stream_ids)
+        counts = {}
+        for segment, part in zip(("batch", "stream"), route_docs(docs), strict=True):
+            counts[segment] = _store(spark, cfg, STORES[segment], part, batch_id, now)
+            if segment == "stream" and send is not None and counts[segment]:
+                send(storage.read_load(spark, cfg, STORES[segment], batch_id).select("value"))
     total = sum(counts.values())
     detail = json.dumps({**counts, "segment_mode": mode})
     latency = round((time.time() - t0) * 1000, 1)
@@ -78,9 +71,26 @@ def ingest_cycle(
     return counts
 
 
-def stored_documents(spark: SparkSession, cfg: LakeConfig, segment: str = "batch") -> DataFrame:
-    """Documents of a store, the latest of each (id, route_id)."""
+def _store(spark: SparkSession, cfg: LakeConfig, store: str, part: DataFrame, batch_id: str, now: Column) -> int:
+    """Documents that this call added to a store: none if the batch was there."""
+    if storage.has_load(spark, cfg, store, batch_id):
+        return 0
+    seen = Observation()
+    stored = part.select(
+        "id", "route_id", F.to_json(F.struct("*")).alias("value"), F.unix_seconds(now.cast("timestamp")).alias("_ts")
+    ).observe(seen, F.count(F.lit(1)).alias("rows"))
+    placed = storage.place_load(spark, cfg, store, storage.stage_load(stored, cfg, store), batch_id)
+    return seen.get["rows"] if placed else 0
+
+
+def stored_documents(spark: SparkSession, cfg: LakeConfig, segment: str = "batch", above: int | None = None) -> DataFrame:
+    """Documents of a store, the latest of each (id, route_id).
+
+    ``above`` reads only those written after a mark: the newest above it is the newest of all.
+    """
     rows = storage.read_table(spark, cfg, STORES[segment])
+    if above is not None:
+        rows = rows.filter(F.col("_ts") > above)
     return keep_first(rows, ["id", "route_id"], [F.desc("_ts"), F.desc("value")])
 
 
@@ -105,17 +115,28 @@ def load_documents(
     """Append the documents (``value`` JSON, ``_ts`` seconds) above the stored mark.
 
     Rows and the new mark are observed while writing; the load is then put in
-    place under the name of both marks and the mark is moved.
+    place under the name of both marks and the mark is moved.  Documents without ``_ts`` belong to no
+    load; they are counted in the run log.
     """
+    now = storage.instant() if now is None else now
+    with storage.failures_logged(spark, cfg, "batch_cycle_complete", key):
+        return _load_documents(spark, cfg, docs, key, now, overlap_sec)
+
+
+def _load_documents(
+    spark: SparkSession, cfg: LakeConfig, docs: DataFrame, key: str, now: Column, overlap_sec: int
+) -> LoadResult:
     t0 = time.time()
-    now = F.current_timestamp() if now is None else now
     mark = _finish_interrupted(spark, cfg, key, storage.read_mark(spark, cfg, key), now)
-    seen = Observation()
-    fresh = incremental_slice(docs, mark, overlap_sec=overlap_sec).observe(
+    seen, unmarked = Observation(), Observation()
+    marked = docs.observe(unmarked, F.count_if(F.col("_ts").isNull()).alias("rows")).filter(F.col("_ts").isNotNull())
+    fresh = incremental_slice(marked, mark, overlap_sec=overlap_sec).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.max("_ts").alias("mark")
     )
     staged = storage.stage_load(flatten_docs(parse_docs(fresh.select("value")), now), cfg, EVENTS)
     rows, new_mark = seen.get["rows"], seen.get["mark"]
+    if without := unmarked.get["rows"]:
+        storage.log_runs(storage.run_row(spark, "documents_without_mark", f"{key}-{mark}", now, "SUCCESS", without, None), cfg)
     if not rows or (new_mark is not None and new_mark <= mark):
         storage.drop_staged(spark, cfg, EVENTS, staged)
         skipped = storage.run_row(spark, "batch_cycle_skip", f"{key}-{mark}", now, "SUCCESS", 0, None,
@@ -126,7 +147,7 @@ def load_documents(
     storage.place_load(spark, cfg, EVENTS, staged, load_id)
     storage.write_mark(spark, cfg, key, new_mark, now)
     _log_load(spark, cfg, load_id, rows, mark, new_mark, now, (time.time() - t0) * 1000)
-    storage.log_commit(spark, cfg, EVENTS, len(storage.load_ids(spark, cfg, EVENTS)), "WRITE", rows)
+    storage.log_commit(spark, cfg, EVENTS, storage.state(spark, cfg, EVENTS).version, "WRITE", rows)
     return LoadResult(rows, mark, new_mark)
 
 
@@ -151,7 +172,7 @@ def load_reference(
     spark: SparkSession, cfg: LakeConfig, routes: DataFrame, snapshot_date: str, now: Column | None = None
 ) -> bool:
     """Append a reference snapshot unless its date is there; False when it was."""
-    now = F.current_timestamp() if now is None else now
+    now = storage.instant() if now is None else now
     rows = route_snapshot(routes, snapshot_date, f"ref-{snapshot_date.replace('-', '')}", now)
     known = storage.read_table(spark, cfg, REFERENCE)
     return storage.append(append_if_absent(rows, known), cfg, REFERENCE, f"snapshot-{snapshot_date}")

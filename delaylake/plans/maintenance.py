@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake import storage
@@ -59,10 +59,14 @@ def _target_files(spark: SparkSession, cfg: LakeConfig, name: str, target_mb: in
     return max(1, math.ceil(size / (target_mb * 1048576)))
 
 
-def _republish(spark: SparkSession, cfg: LakeConfig, name: str, df: DataFrame, operation: str) -> int:
-    covers = storage.load_ids(spark, cfg, name) if cfg.spec(name).kind == "loads" else ()
-    version = storage.publish(df, cfg, name, covers=covers, arranged=True)
-    storage.log_commit(spark, cfg, name, version, operation, None)
+def _republish(
+    spark: SparkSession, cfg: LakeConfig, name: str, df: DataFrame, operation: str, at: storage.Snapshot
+) -> int:
+    # Covered is what the snapshot read; a load placed since then stays a load of its own.
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    version = storage.publish(counted, cfg, name, covers=at.loads, arranged=True)
+    storage.log_commit(spark, cfg, name, version, operation, seen.get["rows"])
     return version
 
 
@@ -73,12 +77,13 @@ def compact(spark: SparkSession, cfg: LakeConfig, name: str, target_mb: int = 25
     partitions are still spread over many tasks.
     """
     n = _target_files(spark, cfg, name, target_mb)
-    df, column = storage.read_stored(spark, cfg, name), cfg.spec(name).partition_by
+    at = storage.snapshot(spark, cfg, name)
+    df, column = storage.read_stored(spark, cfg, name, at), cfg.spec(name).partition_by
     if column:
         # Range bounds over (partition, key) give even files even for one huge day.
         keys = [column, *cfg.spec(name).cluster_by]
-        return _republish(spark, cfg, name, df.repartitionByRange(n, *keys), "OPTIMIZE")
-    return _republish(spark, cfg, name, df.repartition(n), "OPTIMIZE")
+        return _republish(spark, cfg, name, df.repartitionByRange(n, *keys), "OPTIMIZE", at)
+    return _republish(spark, cfg, name, df.repartition(n), "OPTIMIZE", at)
 
 
 def cluster(
@@ -94,9 +99,10 @@ def cluster(
     if spec.partition_by:
         keys = [spec.partition_by, *keys]
     n = _target_files(spark, cfg, name, target_mb)
-    df = storage.read_stored(spark, cfg, name)
+    at = storage.snapshot(spark, cfg, name)
+    df = storage.read_stored(spark, cfg, name, at)
     ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return _republish(spark, cfg, name, ordered, "CLUSTER")
+    return _republish(spark, cfg, name, ordered, "CLUSTER", at)
 
 
 def analyze(spark: SparkSession, cfg: LakeConfig, name: str, columns: Sequence[str] = ()) -> str:

@@ -78,6 +78,9 @@ COMMIT_LOG = _struct(
     ("table_name", _S), ("version", _L), ("ts", _TS), ("operation", _S), ("rows_written", _L),
 )
 
+# Days of silver that gold has yet to take up.
+CHANGED_DAYS = _struct(("event_date", _DT))
+
 # Decoded feed entity.
 STOP_UPDATE = _struct(
     ("delay", _I), ("arrival", _struct(("delay", _I))), ("departure", _struct(("delay", _I))),

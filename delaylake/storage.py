@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,19 +145,33 @@ def _read_dirs(spark: SparkSession, root: str, dirs: Sequence[str], schema: Stru
     return spark.read.schema(schema).option("basePath", root).parquet(*paths).select(*schema.names)
 
 
-def read_stored(spark: SparkSession, cfg: LakeConfig, name: str) -> DataFrame:
-    """A table with its hidden and partition columns."""
+@dataclass(frozen=True)
+class Snapshot:
+    """What a table consisted of when it was looked at: its state and the loads in place."""
+
+    state: State
+    loads: tuple[str, ...] = ()
+
+
+def snapshot(spark: SparkSession, cfg: LakeConfig, name: str) -> Snapshot:
+    loads = tuple(load_ids(spark, cfg, name)) if cfg.spec(name).kind == "loads" else ()
+    return Snapshot(state(spark, cfg, name), loads)
+
+
+def read_stored(spark: SparkSession, cfg: LakeConfig, name: str, at: Snapshot | None = None) -> DataFrame:
+    """A table with its hidden and partition columns, now or as a snapshot has it."""
     spec, root = cfg.spec(name), cfg.path(name)
     schema = _stored_schema(spec)
     if spec.kind == "stream":
         # A file sink's own log says which files are committed.
         started = _Dir(spark, root).exists("_spark_metadata")
         return spark.read.schema(schema).parquet(root) if started else spark.createDataFrame([], schema)
-    now = state(spark, cfg, name)
+    at = at or snapshot(spark, cfg, name)
+    now = at.state
     if spec.kind == "versions":
         return _read_dirs(spark, root, now.dirs, schema)
     covered = set(now.covers)
-    loads = [f"load_id={i}" for i in load_ids(spark, cfg, name) if i not in covered]
+    loads = [f"load_id={i}" for i in at.loads if i not in covered]
     parts = [_read_dirs(spark, root, dirs, schema) for dirs in (now.dirs, loads) if dirs]
     return union_all(parts) if parts else _read_dirs(spark, root, [], schema)
 
@@ -231,12 +246,31 @@ def place_load(
         if not replace:
             d.delete(staged)
             return False
-        d.delete(place)
+        # Aside first: whatever happens in between, one of both is still on disk.
+        aside = f"_staging/{uuid.uuid4().hex}"
+        d.rename(place, aside)
+        if not d.rename(staged, place):
+            d.rename(aside, place)
+            raise RuntimeError(f"load {load_id} of {name} could not be replaced")
+        d.delete(aside)
+        return True
     if not d.rename(staged, place):
         raise RuntimeError(f"load {load_id} of {name} could not be placed")
     return True
 
 
+def has_load(spark: SparkSession, cfg: LakeConfig, name: str, load_id: str) -> bool:
+    """Whether a load is in place; one look-up, however many loads there are."""
+    return _Dir(spark, cfg.path(name)).exists(f"load_id={load_id}")
+
+
+def drop_loads(spark: SparkSession, cfg: LakeConfig, name: str, ids: Iterable[str]) -> None:
+    """Take loads out of a table that serves as a queue."""
+    d = _Dir(spark, cfg.path(name))
+    for i in ids:
+        d.delete(f"load_id={i}")
+
+
 def drop_staged(spark: SparkSession, cfg: LakeConfig, name: str, staged: str) -> None:
     _Dir(spark, cfg.path(name)).delete(staged)
 
@@ -247,7 +281,7 @@ def append(df: DataFrame, cfg: LakeConfig, name: str, load_id: str, replace: boo
     if cfg.sql_catalog:
         conform(df, cfg.spec(name).schema).writeTo(cfg.sql_name(name)).append()
         return True
-    if not replace and load_id in load_ids(spark, cfg, name):
+    if not replace and has_load(spark, cfg, name, load_id):
         return False
     return place_load(spark, cfg, name, stage_load(df, cfg, name), load_id, replace)
 
@@ -272,7 +306,8 @@ def publish(
     """
     spark, spec = df.sparkSession, cfg.spec(name)
     old = state(spark, cfg, name)
-    version = f"v={old.version + 1:012d}"
+    # A directory of its own for each attempt: a writer that loses the race can't touch the winner's files.
+    version = f"v={old.version + 1:012d}-{uuid.uuid4().hex[:12]}"
     root = cfg.path(name)
     stored = _stored_schema(spec)
     out = conform(df, stored)
@@ -295,7 +330,11 @@ def publish(
             gone = {_partition_dir("", column, v) for v in replaces}
             gone |= {f"/{n}" for n in written}
             kept = [d for d in old.dirs if d[d.index("/"):] not in gone]
-    _commit(spark, cfg, name, State(old.version + 1, kept + added, list(covers)))
+    try:
+        _commit(spark, cfg, name, State(old.version + 1, kept + added, list(covers)))
+    except RuntimeError:
+        _Dir(spark, root).delete(version)
+        raise
     return old.version + 1
 
 
@@ -304,8 +343,8 @@ def upsert_table(
 ) -> int | None:
     """Upsert into a stored table: a new version, or ``MERGE`` on a row-level catalog.
 
-    Keys of stored tables are never NULL in practice, so the source, often a whole
-    pipeline, is planned once and its partitioning by the key is reused.
+    Sources are unique by key because each comes from a dedup or a grouping by it. Keys of stored tables are
+    never NULL, so the partitioning that the dedup left is reused.
     """
     spark, spec = source.sparkSession, cfg.spec(name)
     if cfg.sql_catalog:
@@ -333,6 +372,36 @@ def drop_old_versions(spark: SparkSession, cfg: LakeConfig, name: str, keep: int
 # --- control table and logs -----------------------------------------------------------
 
 
+def instant() -> Column:
+    """The present as a literal: the same value in every action of a run."""
+    return F.lit(datetime.now(timezone.utc))
+
+
+def read_generation(spark: SparkSession, cfg: LakeConfig) -> int:
+    """The stored number of full refreshes of the declarative tables."""
+    known = _Dir(spark, cfg.generations()).names()
+    return int(known[-1]) if known else 0
+
+
+def next_generation(spark: SparkSession, cfg: LakeConfig) -> int:
+    """Begin a full refresh; two at once can't get the same number."""
+    new = read_generation(spark, cfg) + 1
+    _Dir(spark, cfg.generations()).write_new(f"{new:012d}", "")
+    return new
+
+
+@contextmanager
+def failures_logged(spark: SparkSession, cfg: LakeConfig, job: str, run_id: str) -> Iterator[None]:
+    """A job that raises leaves a FAILED row in the run log; the error goes on."""
+    begun = datetime.now(timezone.utc)
+    try:
+        yield
+    except Exception as error:
+        spent = (datetime.now(timezone.utc) - begun).total_seconds() * 1000
+        log_runs(run_row(spark, job, run_id, F.lit(begun), "FAILED", None, spent, str(error)[:2000]), cfg)
+        raise
+
+
 def read_mark(spark: SparkSession, cfg: LakeConfig, key: str) -> int:
     """Stored high-water mark of a source; 0 when there is none."""
     marks = read_table(spark, cfg, "bronze._cosmos_watermarks")

@@ -57,7 +57,7 @@ def start_bronze_stream(
         if batch.isEmpty():
             return
         t0 = time.time()
-        load_id = f"{flow}-g{cfg.generation}-b{batch_id:09d}"
+        load_id = f"{flow}-b{batch_id:09d}"
         storage.append(batch, cfg, HUB, load_id)
         # Metrics come from the load as stored: no second read of the source.
         stored = storage.read_load(batch.sparkSession, cfg, HUB, load_id)

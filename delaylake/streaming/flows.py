@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from delaylake import storage
 from delaylake.config import LakeConfig
 from delaylake.functions import stamp
 from delaylake.operators import kpi, quality
+from delaylake.operators.combine import union_all
 from delaylake.operators.facts import silver_from_batch, silver_from_hub
 from delaylake.sources.messages import parse_hub
 from delaylake.streaming.bronze import start
@@ -46,7 +50,7 @@ def single_writer_stream(
 ) -> StreamingQuery:
     """Write a stream with the file sink, whose log hides uncommitted files from the next reader."""
     writer = df.writeStream.format("parquet").outputMode("append").option("path", cfg.path(name))
-    return start(writer, cfg.checkpoint(name), trigger, available_now)
+    return start(writer, cfg.checkpoint(name, refreshed=True), trigger, available_now)
 
 
 def append_flow(
@@ -60,12 +64,54 @@ def append_flow(
         storage.append(batch, cfg, target, f"{name}-b{batch_id:09d}")
 
     writer = df.writeStream.foreachBatch(write).outputMode("append")
-    return start(writer, cfg.checkpoint(name), trigger, available_now)
+    return start(writer, cfg.checkpoint(name, refreshed=True), trigger, available_now)
+
+
+class Totals(StreamingQueryListener):
+    """Observed metrics of every micro-batch, summed as the batches end; a query itself only remembers its last ones."""
+
+    def __init__(self) -> None:
+        self._sums: dict[str, FlowReport] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _of(self, run: str) -> tuple[FlowReport, threading.Event]:
+        with self._lock:
+            return self._sums.setdefault(run, FlowReport()), self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        sums, _ = self._of(str(event.progress.runId))
+        for dataset, row in (event.progress.observedMetrics or {}).items():
+            sums.add(dataset, row.asDict())
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._of(str(event.runId))[1].set()
+
+    def take(self, query: StreamingQuery, seconds: float = 120) -> FlowReport:
+        """All metrics of a query that has ended; events come in order, its end last."""
+        sums, ended = self._of(str(query.runId))
+        if not ended.wait(seconds):
+            raise RuntimeError(f"the metrics of {query.name or query.id} are incomplete")
+        return sums
 
 
 def run_flows(flows: list[Flow], report: FlowReport | None = None) -> FlowReport:
     """Run flows side by side to their end; one that fails does not stop the others."""
-    report = report or FlowReport()
+    totals, streams = Totals(), SparkSession.active().streams
+    streams.addListener(totals)
+    try:
+        return _run_flows(flows, report or FlowReport(), totals)
+    finally:
+        streams.removeListener(totals)
+
+
+def _run_flows(flows: list[Flow], report: FlowReport, totals: Totals) -> FlowReport:
     running = []
     for flow in flows:
         try:
@@ -77,12 +123,22 @@ def run_flows(flows: list[Flow], report: FlowReport | None = None) -> FlowReport
             query.awaitTermination()
         except StreamingQueryException as error:
             report.failures[name] = str(error)
-        for progress in query.recentProgress:
-            for dataset, row in (progress.observedMetrics or {}).items():
-                report.add(dataset, row.asDict())
+        for dataset, values in totals.take(query).metrics.items():
+            report.add(dataset, values)
     return report
 
 
+def log_metrics(spark: SparkSession, cfg: LakeConfig, report: FlowReport) -> None:
+    """Expectation counts to the run log: one row per dataset and rule, and one with the rows checked."""
+    run = uuid.uuid4().hex
+    rows = [
+        storage.run_row(spark, "expectation", run, F.current_timestamp(), "SUCCESS", n, None, f"{dataset}.{rule}")
+        for dataset, values in report.metrics.items() for rule, n in values.items()
+    ]
+    if rows:
+        storage.log_runs(union_all(rows), cfg)
+
+
 def bronze_flows(spark: SparkSession, cfg: LakeConfig, max_files: int | None = None) -> list[Flow]:
     """Both bronze datasets: stored rows with a processing time, violations counted."""
     def shaped(source: str, target: str, rules: Mapping[str, str]) -> Flow:
@@ -135,10 +191,10 @@ def run_declarative(
     """All six datasets in dependency order; returns the configuration they are under.
 
     ``full`` starts a new generation with empty tables and checkpoints; otherwise
-    the streams go on where they stopped.
+    the streams go on where they stopped.  The generation is kept in the lake, so a new
+    process goes on with the current one; bronze and silver of the batch variant have none.
     """
-    if full:
-        cfg = cfg.at_generation(cfg.generation + 1)
+    cfg = cfg.at_generation(storage.next_generation(spark, cfg) if full else storage.read_generation(spark, cfg))
     report = run_flows(bronze_flows(spark, cfg, max_files))
     run_flows(silver_flows(spark, cfg, max_files), report)
     refresh(spark, cfg, "flow.silver_dim_route", lambda: quality.expect_or_fail(
@@ -150,6 +206,7 @@ def run_declarative(
             lambda: kpi.enrich_flow(storage.read_table(spark, cfg, "flow.gold_kpi_daily"),
                                     storage.read_table(spark, cfg, "flow.silver_dim_route")),
             quality.GOLD_ENRICHED_RULES, report)
+    log_metrics(spark, cfg, report)
     if report.failures:
         raise RuntimeError(f"flows failed: {report.failures}")
     return cfg, report

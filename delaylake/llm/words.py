@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
 _powers: list[np.ndarray] = []

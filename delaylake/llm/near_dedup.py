@@ -145,9 +145,11 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(comp, id) to (comp, held): the sets of a component in blocks of about BLOCK_BYTES, a longer set alone."""
-    m = members.join(sets, "id").withColumn("bytes", F.octet_length("items"))
+    # Blocks are dealt out by sizes alone; sets meet their block, never all of one component in one task.
+    m = members.join(sets.select("id", F.octet_length("items").alias("bytes")), "id")
     n = m.groupBy("comp").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
-    m = m.join(n, "comp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("n")))
+    m = m.join(n, "comp").select("comp", "id", F.pmod(F.xxhash64("id"), F.col("n")).alias("part"))
+    m = m.join(sets, "id").repartition("comp", "part")
     return m.groupBy("comp", "part").agg(F.collect_list(F.struct("id", "items")).alias("held")).select("comp", "held")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake.llm import (
-    decontamination, exact_dedup, html_text, mixing, near_dedup, pii, secrets, sharding, substring_dedup, toxicity,
+    conversation_repair, decontamination, exact_dedup, html_text, mixing, near_dedup, phrases, pii, secrets, sharding, substring_dedup, suffix_dedup, toxicity,
 )
 
 SHARDS = 8
@@ -98,11 +98,37 @@ def op10_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    whole = table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damage(whole)
+    names = {"conv": "conv", "turn": "turn", "role": "role", "text": "text", "tie": ("was_role", "was_text")}
+    parsed = conversation_repair.parse(rows, **names)
+    hashes = conversation_repair.digest(conversation_repair.repair(rows, parsed, **names))
+    known = whole.select(F.col("conv_id")).distinct()
+    out = known.join(parsed, known["conv_id"].eqNullSafe(parsed["conv"]), "left").drop("conv")
+    out = out.join(hashes, out["conv_id"].eqNullSafe(hashes["conv"]), "left").drop("conv")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_column_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document without strings of 50 bytes that an earlier document has."""
+    found = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"), window=50)
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_stream_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language that most outdo their parts."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_qgram_decontamination, op2_hypergeometric_shards, op3_feistel_pseudonyms, op4_secret_structure, op5_golomb_dedup,
-        op6_mixture, op7_min_cut_text, op8_fast_sketch_dedup, op9_convolution_toxicity, op10_super_kmer_dedup,
+        op6_mixture, op7_min_cut_text, op8_fast_sketch_dedup, op9_convolution_toxicity, op10_super_kmer_dedup, op11_interval_repair,
+        op12_column_suffix_dedup, op13_stream_collocations,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,6 @@ adds the weights up and answers with a bitmap over the list it was sent, so neit
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylake.llm.shared import cut, shared_folder
+from delaylake.llm.shared import cut
 from delaylake.llm.words import chunks
 
 RUN_BYTES = 4 << 20
@@ -43,13 +42,6 @@ def read_run(held: bytes) -> pa.RecordBatch:
         return source.read_next_batch()
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The frame through a Parquet table in the shared folder: smaller than a checkpoint where columns compress."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def planes(values: np.ndarray) -> bytes:
     """64-bit values byte by byte: first all lowest bytes, so that what is always zero stands together and compresses away."""
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
@@ -74,10 +66,11 @@ def owner_cuts(values: np.ndarray, n_owners: int, bits: int) -> tuple[np.ndarray
     return owner[begins], [*begins.tolist(), len(values)]
 
 
-def enough(runs: DataFrame, values: Values, n_owners: int, bits: int, least: int) -> DataFrame:
+def enough(runs: DataFrame, values: Values, n_owners: int, bits: int, least: int, crowd: int | None = None) -> DataFrame:
     """(run, marks): per run its owners' bitmaps over what `values` gives for it (sorted distinct uint64 below 2**bits, and weights).
 
-    A bit is set if the weights of that value over all runs add up to `least` (at most 255). Runs without a set bit have no row.
+    A bit is set if the weights of that value over all runs, each taken as 255 at most, add up to `least` (at most 255). Runs without a
+    set bit have no row. `crowded` holds a second bitmap, of values that reach `crowd`, or null.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +78,7 @@ def enough(runs: DataFrame, values: Values, n_owners: int, bits: int, least: int
             for run, held in zip(batch.column("run").to_pylist(), batch.column("held"), strict=True):
                 v, w = values(read_run(held.as_py()))
                 owner, at = owner_cuts(v, n_owners, bits)
-                w = np.minimum(w, least).astype(np.uint8)
+                w = np.minimum(w, 255).astype(np.uint8)
                 parts = list(zip(at[:-1], at[1:], strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -103,27 +96,30 @@ def enough(runs: DataFrame, values: Values, n_owners: int, bits: int, least: int
         order = np.argsort(all_values, kind="stable")
         new = np.flatnonzero(np.diff(all_values[order], prepend=all_values[order[0]] + np.uint64(1)))
         total = np.add.reduceat(weight[order].astype(np.int64), new)
-        bits_set = np.empty(len(order), bool)
-        bits_set[order] = np.repeat(total >= least, np.diff(np.append(new, len(order))))
+        sums = np.empty(len(order), np.int64)
+        sums[order] = np.repeat(total, np.diff(np.append(new, len(order))))
         ends = np.cumsum([len(h) for h in held])
-        parts = [bits_set[e - len(h) : e] for h, e in zip(held, ends, strict=True)]
-        told = [k for k, p in enumerate(parts) if p.any()]
+        parts = [sums[e - len(h) : e] for h, e in zip(held, ends, strict=True)]
+        told = [k for k, p in enumerate(parts) if p.max() >= least]
+        bitmap = lambda x: np.packbits(x).tobytes() if x.any() else None
         return pa.table({
             "run": pa.array([lists.column("run")[k].as_py() for k in told], pa.int64()), "owner": pa.array([lists.column("owner")[k].as_py() for k in told], pa.int32()),
-            "bitmap": pa.array([np.packbits(parts[k]).tobytes() for k in told], pa.binary()),
+            "bitmap": pa.array([bitmap(parts[k] >= least) for k in told], pa.binary()),
+            "crowded": pa.array([bitmap(parts[k] >= crowd) if crowd else None for k in told], pa.binary()),
         })
 
     lists = runs.mapInArrow(send, "owner int, run long, gaps binary, weights binary")
-    answers = lists.groupBy("owner").applyInArrow(answer, "run long, owner int, bitmap binary")
-    return answers.groupBy("run").agg(F.collect_list(F.struct("owner", "bitmap")).alias("marks"))
+    answers = lists.groupBy("owner").applyInArrow(answer, "run long, owner int, bitmap binary, crowded binary")
+    return answers.groupBy("run").agg(F.collect_list(F.struct("owner", "bitmap", "crowded")).alias("marks"))
 
 
-def marked(v: np.ndarray, marks: list[dict], n_owners: int, bits: int) -> np.ndarray:
+def marked(v: np.ndarray, marks: list[dict], n_owners: int, bits: int, which: str = "bitmap") -> np.ndarray:
     """The answers of `enough` for one run as booleans over its sorted values."""
     owner, at = owner_cuts(v, n_owners, bits)
     place = {o: k for k, o in enumerate(owner.tolist())}
     out = np.zeros(len(v), bool)
     for m in marks or ():
-        a, b = at[place[m["owner"]]], at[place[m["owner"]] + 1]
-        out[a:b] = np.unpackbits(np.frombuffer(m["bitmap"], np.uint8), count=b - a) > 0
+        if m[which] is not None:
+            a, b = at[place[m["owner"]]], at[place[m["owner"]] + 1]
+            out[a:b] = np.unpackbits(np.frombuffer(m[which], np.uint8), count=b - a) > 0
     return out

@@ -1,15 +1,16 @@
 """Removal of repeated byte strings by column-wise construction of a collection's Burrows-Wheeler transform and common prefixes.
 
 Consecutive windows that share a minimiser make one piece of text, so equal windows lie in pieces of one minimiser. Runs exchange their
-minimisers first; pieces whose minimiser no other document has stay at home. Of equal pieces all but those of the smallest document go
-whole. What is left is a collection of different short strings: bucket by bucket, each round inserts one symbol of every string, from its
-end to its beginning, into four columns (transform, common prefix, string, length) that are read once and written once in order.
-Neighbours with a common prefix of a window are equal windows. The columns of a bucket are bounded and kept in the task's memory as
-sequential arrays: files would have to lie in a folder of one machine.
+minimisers first; pieces whose minimiser no other document has stay at home, the others meet in buckets of minimisers as packed blocks.
+There equal pieces go whole but for those of the smallest document. What is left is a collection of different short strings: each round
+inserts one symbol of every string, from its end to its beginning, into four columns (transform, common prefix, string, length) that are
+read once and written once in order. Neighbours with a common prefix of a window are equal windows. The columns of a bucket are bounded
+and kept in the task's memory as sequential arrays: files would have to lie in a folder of one machine.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,17 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylake.llm import runs as R
-from delaylake.llm.shared import col
+from delaylake.llm.shared import col, cut
 from delaylake.llm.substring_dedup import sliding_min
 from delaylake.llm.words import bytes_of, mix
 
 SEED_BYTES = 24
 MOST_WINDOWS = 64
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 4 << 20
 CROWD = 20_000
 NO_SYMBOL = 255  # never a byte of UTF-8
 MULTIPLIER = np.array([0x5851F42D4C957F2D], np.uint64)  # an array, as it overflows on purpose
-PIECES = "s binary, mini long, doc long, run long, at array<int>"
+BLOCKS = "bucket int, single boolean, run long, n_strings int, n int, size int, held binary"
+MARKS = "run long, at array<int>, n array<int>"
 
 
 def seed_hashes(data: np.ndarray, width: int) -> np.ndarray:
@@ -71,51 +73,63 @@ def pieces(data: np.ndarray, bounds: np.ndarray, window: int, bits: int) -> tupl
 
 
 def by_value(minis: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct minimisers, and for each 2 if more than one document has it, else 1."""
+    """Distinct minimisers with their number of pieces, or 1 where all are of one document."""
     if not len(minis):
         return minis, np.zeros(0, np.int64)
     order = np.argsort(minis)
     m, d = minis[order], doc[order]
     new = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
-    return m[new], 1 + (np.minimum.reduceat(d, new) != np.maximum.reduceat(d, new)).astype(np.int64)
+    several = np.minimum.reduceat(d, new) != np.maximum.reduceat(d, new)
+    return m[new], np.where(several, np.diff(np.append(new, len(m))), 1)
 
 
 def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
-def suspects(held: pa.RecordBatch, marks: list[dict], window: int, n_owners: int, bits: int, run: int) -> pa.RecordBatch:
-    """Pieces of a run whose minimiser another document has too, equal pieces of one document together."""
+def suspects(held: pa.RecordBatch, marks: list[dict], window: int, n_owners: int, bits: int, n_buckets: int, run: int) -> pa.RecordBatch:
+    """Blocks for buckets: a run's pieces whose minimiser another document has too, equal strings once.
+
+    Minimisers with a crowd of pieces would fill one bucket: their windows travel one by one, spread by their own bytes.
+    """
     data, bounds = bytes_of(held.column("text"))
     begin, n, mini = pieces(data, bounds, window, bits)
-    doc = column(held, "id")[np.searchsorted(bounds, begin, side="right") - 1]
     values = np.unique(mini)
-    keep = R.marked(values, marks, n_owners, bits)[np.searchsorted(values, mini)] if len(values) else np.zeros(0, bool)
-    begin, n, mini, doc = begin[keep], n[keep], mini[keep], doc[keep]
-    text = data.tobytes()
-    groups: dict[tuple[int, bytes], tuple[int, list[int]]] = {}
-    for b, e, m, d in zip(begin.tolist(), (begin + n + window - 1).tolist(), mini.astype(np.int64).tolist(), doc.tolist(), strict=True):
-        groups.setdefault((d, text[b:e]), (m, []))[1].append(b)
-    rows = list(groups.items())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([k[1] for k, _ in rows], pa.binary()), pa.array([m for _, (m, _) in rows], pa.int64()), pa.array([k[0] for k, _ in rows], pa.int64()),
-            pa.array([run] * len(rows), pa.int64()), pa.array([a for _, (_, a) in rows], pa.list_(pa.int32())),
-        ],
-        ["s", "mini", "doc", "run", "at"],
-    )
-
-
-def least_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (s, doc): adds `first`, whether the row's document is the smallest that has the string."""
-    string, least = None, None
-    for batch in batches:
-        first = []
-        for s, d in zip(batch.column("s").to_pylist(), batch.column("doc").to_pylist(), strict=True):
-            if s != string:
-                string, least = s, d
-            first.append(d == least)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first, pa.bool_())], [*batch.schema.names, "first"])
+    at = np.searchsorted(values, mini)
+    keep = np.flatnonzero(R.marked(values, marks, n_owners, bits)[at])
+    begin, n, mini, at = begin[keep], n[keep], mini[keep], at[keep]
+    crowded = R.marked(values, marks, n_owners, bits, "crowded")[at]
+    doc = column(held, "id")[np.searchsorted(bounds, begin, side="right") - 1]
+    blocks = block_rows(data, begin[~crowded], n[~crowded], doc[~crowded], mini[~crowded], window, n_buckets, run, False)
+    if crowded.any():
+        size = n[crowded]
+        lone = np.repeat(begin[crowded] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        blocks += block_rows(data, lone, np.ones(len(lone), np.int64), np.repeat(doc[crowded], size), seed_hashes(data, window)[lone], window, n_buckets, run, True)
+    kinds = (pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    names = ["bucket", "single", "run", "n_strings", "n", "size", "held"]
+    return pa.RecordBatch.from_arrays([pa.array([b[k] for b in blocks], t) for k, t in enumerate(kinds)], names)
+
+
+def alike(values: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each stretch of equal values; none is negative."""
+    cuts = np.flatnonzero(np.diff(values, prepend=-1)).tolist()
+    return list(itertools.pairwise([*cuts, len(values)])) if cuts else []
+
+
+def block_rows(data: np.ndarray, begin: np.ndarray, n: np.ndarray, doc: np.ndarray, mini: np.ndarray, window: int, n_buckets: int, run: int, single: bool) -> list[tuple]:
+    """Per bucket one row: lengths of its distinct strings, and of each piece its string, document and place, then the strings' bytes."""
+    bucket = (mix(mini) % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    begin, n, doc, bucket = begin[order], n[order], doc[order], bucket[order]
+    text, stop = data.tobytes(), begin + n + window - 1
+    out = []
+    for a, b in alike(bucket):
+        coded = pa.array([text[x:y] for x, y in zip(begin[a:b].tolist(), stop[a:b].tolist(), strict=True)], pa.binary()).dictionary_encode()
+        strings = coded.dictionary.to_pylist()
+        columns = [np.array([len(s) for s in strings], np.uint8).tobytes(), *(R.planes(x[a:b]) for x in (doc, begin)), R.planes(coded.indices.to_numpy().astype(np.int64))]
+        held = b"".join([*columns, *strings])
+        out.append((int(bucket[a]), single, run, len(strings), b - a, len(held), pa.compress(held, codec="zstd", asbytes=True)))
+    return out
 
 
 def range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -184,37 +198,72 @@ def shared_windows(strings: list[bytes], least: np.ndarray, window: int) -> tupl
     return owner[hit].astype(np.int64), lengths[owner[hit]] - size[hit]
 
 
+def minimisers(strings: list[bytes], window: int) -> np.ndarray:
+    """The smallest seed hash of each string."""
+    seed = min(SEED_BYTES, window)
+    ends = np.cumsum([len(s) for s in strings])
+    hashes = seed_hashes(np.frombuffer(b"".join(strings), np.uint8), seed)
+    parts = np.stack([np.concatenate([[0], ends[:-1]]), ends - seed + 1], axis=1).ravel()
+    return np.minimum.reduceat(np.append(hashes, np.uint64(0xFFFFFFFFFFFFFFFF)), parts)[::2]
+
+
 def bucket_marks(rows: pa.Table, window: int) -> pa.Table:
-    """One bucket's pieces to (run, at, n)."""
-    texts = rows.column("s").combine_chunks().dictionary_encode()
-    code = texts.indices.to_numpy()
-    strings = texts.dictionary.to_pylist()
-    least = np.zeros(len(strings), np.int64)
-    least[code] = rows.column("doc").to_numpy()
-    which, offset = shared_windows(strings, least, window)
-    found: dict[int, list[int]] = {}
-    for w, o in zip(which.tolist(), offset.tolist(), strict=True):
-        found.setdefault(w, []).append(o)
-    out: list[tuple[int, int, int]] = []
-    for c, run, spots in zip(code.tolist(), rows.column("run").to_pylist(), rows.column("at").to_pylist(), strict=True):
-        if c in found:
-            o = np.sort(np.array(found[c]))
-            first = np.flatnonzero(np.diff(o, prepend=-2) != 1)
-            spans = list(zip(o[first].tolist(), np.diff(np.append(first, len(o))).tolist(), strict=True))
-            out += [(run, a + x, n) for a in spots for x, n in spans]
-    return pa.table({k: pa.array([x[j] for x in out], t) for j, (k, t) in enumerate((("run", pa.int64()), ("at", pa.int32()), ("n", pa.int32())))})
-
-
-def later(rows: DataFrame) -> DataFrame:
-    """(s, mini, doc, run, at) with `first`. Runs send one row a string and document, so a frequent string is a row a run and no more."""
-    spread = rows.repartition("s").sortWithinPartitions("s", "doc")
-    return spread.mapInArrow(least_first, f"{PIECES}, first boolean")
+    """One bucket's blocks to (run, at, n): windows that also start in a smaller document."""
+    strings, code, doc, spot, run, known = [], [], [], [], [], 0
+    for r, k, n, size, held in zip(*(rows.column(c).to_pylist() for c in ("run", "n_strings", "n", "size", "held")), strict=True):
+        raw = pa.decompress(held, decompressed_size=size, codec="zstd", asbytes=True)
+        lengths, at = np.frombuffer(raw, np.uint8, k), k
+        for to in (doc, spot, code):
+            to.append(R.unplanes(raw[at : at + 8 * n]).astype(np.int64))
+            at += 8 * n
+        code[-1] += known
+        known += k
+        ends = (at + np.cumsum(lengths)).tolist()
+        strings += [raw[a:b] for a, b in zip([at, *ends[:-1]], ends, strict=True)]
+        run.append(np.full(n, r, np.int64))
+    coded = pa.array(strings, pa.binary()).dictionary_encode()
+    strings = coded.dictionary.to_pylist()
+    code, doc, spot, run = coded.indices.to_numpy()[np.concatenate(code)], np.concatenate(doc), np.concatenate(spot), np.concatenate(run)
+    least = np.full(len(strings), np.iinfo(np.int64).max)
+    np.minimum.at(least, code, doc)
+    count = np.array([len(s) for s in strings], np.int64) - window + 1
+    later = np.flatnonzero(doc > least[code])
+    found = [(run[later], spot[later], count[code[later]])]
+    if not rows.column("single")[0].as_py():
+        # Only minimisers with different strings can have windows that the comparison of whole strings missed.
+        _, mini, same = np.unique(minimisers(strings, window), return_inverse=True, return_counts=True)
+        mixed = np.flatnonzero(same[mini] > 1)
+        which, offset = shared_windows([strings[k] for k in mixed], least[mixed], window)
+        found.append(carried(mixed[which], offset, code, doc == least[code], run, spot))
+    run, spot, count = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((spot, run))
+    run, spot, count = run[order], spot[order], count[order]
+    parts = alike(run)
+    return pa.table({
+        "run": pa.array([int(run[a]) for a, _ in parts], pa.int64()), "at": pa.array([spot[a:b].astype(np.int32) for a, b in parts], pa.list_(pa.int32())),
+        "n": pa.array([count[a:b].astype(np.int32) for a, b in parts], pa.list_(pa.int32())),
+    })
+
+
+def carried(which: np.ndarray, offset: np.ndarray, code: np.ndarray, first: np.ndarray, run: np.ndarray, spot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marked windows of strings, as runs of windows at every place of the string in its smallest document."""
+    order = np.lexsort((offset, which))
+    which, offset = which[order], offset[order]
+    new = np.ones(len(which), bool)
+    new[1:] = (np.diff(which) != 0) | (np.diff(offset) != 1)
+    begin = np.flatnonzero(new)
+    which, offset, size = which[begin], offset[begin], np.diff(np.append(begin, len(which)))
+    low, high = np.searchsorted(which, code), np.searchsorted(which, code, side="right")
+    times = np.where(first, high - low, 0)
+    place = np.repeat(np.arange(len(code)), times)
+    span = np.repeat(low, times) + np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
+    return run[place], spot[place] + offset[span], size[span]
 
 
 def repeated_runs(held: DataFrame, total: int, window: int, bucket_bytes: int, crowd: int) -> DataFrame:
     """(run, at, n): of a run of rows, the windows from byte at to at + n - 1 that also start in a smaller document."""
     bits = max(8, min(60, total.bit_length() + 4))
-    n_owners = R.owners_for(total // 8)
+    n_owners, n_buckets = R.owners_for(total // 8), max(1, total // bucket_bytes)
 
     def minis(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         data, bounds = bytes_of(batch.column("text"))
@@ -224,29 +273,11 @@ def repeated_runs(held: DataFrame, total: int, window: int, bucket_bytes: int, c
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run, block, marks in zip(batch.column("run").to_pylist(), batch.column("held"), batch.column("marks").to_pylist(), strict=True):
-                yield suspects(R.read_run(block.as_py()), marks, window, n_owners, bits, run)
-
-    marks = R.enough(held, minis, n_owners, bits, 2)
-    known = R.written(later(held.join(marks, "run").mapInArrow(find, PIECES)))
-    whole = known.filter(~F.col("first")).select("run", F.explode("at").alias("at"), (F.length("s") - (window - 1)).alias("n"))
-
-    # Only minimisers with different strings can have windows that the comparison of whole strings missed.
-    firsts = known.filter("first").drop("first")
-    counts = firsts.groupBy("mini").agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("strings"), F.sum(F.length("s")).alias("bytes"))
-    counts = counts.filter("low <> high")
-    size = counts.agg(F.sum("bytes")).first()[0] or 0
-    mixed = firsts.join(counts.select("mini", "strings"), "mini")
-    bucket = F.pmod(F.xxhash64("mini"), F.lit(max(1, size // bucket_bytes))).alias("bucket")
-    close = mixed.filter(F.col("strings") <= crowd).select(bucket, "s", "doc", "run", "at").groupBy("bucket").applyInArrow(
-        lambda rows: bucket_marks(rows, window), "run long, at int, n int"
-    )
-    # A minimiser with a crowd of strings would fill one bucket; its windows are compared one by one, spread by their own bytes.
-    steps = F.explode(F.sequence(F.lit(0), F.length("s") - window)).alias("k")
-    single = mixed.filter(F.col("strings") > crowd).select("*", steps).select(
-        F.substring(F.col("s"), F.col("k") + 1, F.lit(window)).alias("s"), "mini", "doc", "run", F.transform("at", lambda a: a + F.col("k")).alias("at")
-    )
-    apart = later(single).filter(~F.col("first")).select("run", F.explode("at").alias("at"), F.lit(1).alias("n"))
-    return whole.unionByName(close).unionByName(apart)
+                yield suspects(R.read_run(block.as_py()), marks, window, n_owners, bits, n_buckets, run)
+
+    marks = R.enough(held, minis, n_owners, bits, 2, crowd)
+    blocks = held.join(marks, "run").mapInArrow(find, BLOCKS)
+    return blocks.groupBy("bucket", "single").applyInArrow(lambda rows: bucket_marks(rows, window), MARKS)
 
 
 def cover(bounds: np.ndarray, at: np.ndarray, n: np.ndarray, window: int) -> np.ndarray:
@@ -271,14 +302,15 @@ def remove_repeated_bytes(
     known = rows.filter("id IS NOT NULL")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     held = R.write_runs(known, "text", run_bytes)
-    found = repeated_runs(held, total, window, bucket_bytes, crowd).groupBy("run").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    # What the exchange shuffled is not needed after this.
+    found = cut(repeated_runs(held, total, window, bucket_bytes, crowd)).groupBy("run").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, spans in zip(batch.column("held"), batch.column("spans"), strict=True):
+            for block, *spans in zip(batch.column("held"), batch.column("at"), batch.column("n"), strict=True):
                 run = R.read_run(block.as_py())
                 data, bounds = bytes_of(run.column("text"))
-                at, n = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in spans.values.flatten()) if spans.is_valid else (np.zeros(0, np.int64),) * 2
+                at, n = (x.values.flatten().to_numpy(zero_copy_only=False).astype(np.int64) if x.is_valid else np.zeros(0, np.int64) for x in spans)
                 gone = cover(bounds, at, n, window)
                 starts = gone.copy()
                 starts[1:] &= ~gone[:-1]

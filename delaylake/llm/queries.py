@@ -88,7 +88,8 @@ def op9_convolution_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
     found = toxicity.score(docs, model)
     return found.select(
-        F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+        F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "rejected",
     )
 
 

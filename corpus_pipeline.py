@@ -15,13 +15,19 @@ N_SHARDS = 8
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxicity threshold of their language; the classifier learns from the labels of sf_dir."""
+    """Documents below the toxicity threshold of their language; the classifier learns from the labels of sf_dir.
+
+    Without labels of both classes all stay; null and empty texts are judged like others; rows without id can't be labelled but are judged.
+    """
     model = toxicity.fit(toxicity.labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return toxicity.reject(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the smallest id."""
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the smallest id.
+
+    Null, empty and blank texts are copies of nothing and stay, as do rows without id; rows that repeat an id are one document.
+    """
     return near_dedup.one_of_each(docs)
 
 
@@ -31,13 +37,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them: not at all, once or twice."""
+    """Documents as often as the mix of sources takes them: not at all, once or twice. A null source is a source; texts without words have size 0."""
     mixed = mixing.mix(docs, mixing.word_count(F.col("text")), n_shards=N_SHARDS)
     return mixing.drawn_rows(mixed, [col(c) for c in docs.columns]).select([col(c) for c in docs.columns])
 
 
 def shuffle_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with shard and slot."""
+    """All rows, repeated ones and those without id or text included, with shard and slot."""
     return sharding.shard(docs, N_SHARDS)
 
 
@@ -54,11 +60,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir; stages meet in Parquet under the shared folder."""
+    """All stages over the documents of sf_dir; stages meet in Parquet under the shared folder, and what is read no more is removed."""
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            place = spark._jvm.org.apache.hadoop.fs.Path(before)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        before = path
     return docs

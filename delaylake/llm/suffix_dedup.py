@@ -24,11 +24,11 @@ from delaylake.llm.substring_dedup import sliding_min
 from delaylake.llm.words import bytes_of, mix
 
 SEED_BYTES = 24
-MOST_WINDOWS = 64
 BUCKET_BYTES = 4 << 20
 CROWD = 20_000
 NO_SYMBOL = 255  # never a byte of UTF-8
 MULTIPLIER = np.array([0x5851F42D4C957F2D], np.uint64)  # an array, as it overflows on purpose
+COLUMNS = np.dtype([("before", np.uint8), ("prefix", np.uint8), ("size", np.uint16), ("owner", np.uint32)])
 BLOCKS = "bucket int, single boolean, run long, n_strings int, n int, size int, held binary"
 MARKS = "run long, at array<int>, n array<int>"
 
@@ -49,7 +49,7 @@ def seed_hashes(data: np.ndarray, width: int) -> np.ndarray:
 
 
 def pieces(data: np.ndarray, bounds: np.ndarray, window: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, number of windows and minimiser of every piece: windows in a row that share a minimiser, MOST_WINDOWS at most."""
+    """First byte, number of windows and minimiser of every piece: windows in a row that share a minimiser, as many at most as can share one place."""
     none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
     if len(data) < window:
         return none
@@ -67,7 +67,7 @@ def pieces(data: np.ndarray, bounds: np.ndarray, window: int, bits: int) -> tupl
     new = np.ones(len(spots), bool)
     new[1:] = (np.diff(spots) > 1) | (least[spots[1:]] != least[spots[:-1]])
     first = np.flatnonzero(new)
-    new[np.arange(len(spots)) - np.repeat(first, np.diff(np.append(first, len(spots)))) & (MOST_WINDOWS - 1) == 0] = True
+    new[(np.arange(len(spots)) - np.repeat(first, np.diff(np.append(first, len(spots))))) % (window - seed + 1) == 0] = True
     first = np.flatnonzero(new)
     return spots[first], np.diff(np.append(first, len(spots))), least[spots[first]]
 
@@ -152,39 +152,40 @@ def insert_columns(data: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> t
     common prefix with the suffix before it, string and length. Ends of strings sort first, by number, and equal nothing.
     """
     m = len(ends)
-    before = np.where(lengths > 0, data[np.maximum(ends - 1, 0)], NO_SYMBOL).astype(np.uint8)
-    prefix, owner, size = np.zeros(m, np.uint8), np.arange(m, dtype=np.int32), np.zeros(m, np.uint8)
+    # All columns in one, read and written once a round: symbol before, common prefix, length and string.
+    held = np.zeros(m, COLUMNS)
+    held["before"] = np.where(lengths > 0, data[np.maximum(ends - 1, 0)], NO_SYMBOL)
+    held["owner"] = np.arange(m)
     fresh = np.arange(m)  # where the suffixes of the last round stand
     for r in range(1, int(lengths.max(initial=0)) + 1):
         # A suffix c + x stands where x stands among all suffixes preceded by c: a stable sort by the symbol before.
+        before, prefix = np.ascontiguousarray(held["before"]), np.ascontiguousarray(held["prefix"])
         n_known = int(np.count_nonzero(before != NO_SYMBOL))
         order = np.argsort(before, kind="stable")[:n_known]
         is_new = np.zeros(len(before), bool)
         is_new[fresh[before[fresh] != NO_SYMBOL]] = True
         new = np.flatnonzero(is_new[order])
         # Common prefixes change at new suffixes and at the one after each.
-        touched = np.unique(np.concatenate([new, new + 1]))
-        touched = touched[(touched > 0) & (touched < n_known)]
+        change = np.zeros(n_known + 1, bool)
+        change[new] = change[new + 1] = True
+        touched = np.flatnonzero(change[1:n_known]) + 1
         touched = touched[before[order[touched]] == before[order[touched - 1]]]
         common = range_minima(prefix, order[touched - 1] + 1, order[touched] + 1) + 1
-        string = owner[order[new]]
-        place = np.zeros(m + n_known, bool)
-        place[m + new] = True
-        left = lengths[string] - r
-        symbol = np.where(left > 0, data[ends[string] - np.minimum(r + 1, lengths[string])], NO_SYMBOL).astype(np.uint8)
-
-        def merged(old: np.ndarray, added, place=place) -> np.ndarray:
-            out = np.empty(len(place), old.dtype)
-            out[place] = added
-            out[~place] = old
-            return out
-
-        before, owner, size, prefix = merged(before, symbol), merged(owner, string), merged(size, r), merged(prefix, 0)
-        after = m + new + 1
-        prefix[after[after < len(prefix)]] = 0
-        prefix[m + touched] = common
+        string = held["owner"][order[new]]
+        added = np.zeros(len(new), COLUMNS)
+        added["before"] = np.where(lengths[string] > r, data[ends[string] - np.minimum(r + 1, lengths[string])], NO_SYMBOL)
+        added["owner"], added["size"] = string, r
         fresh = m + new
-    return before, prefix, owner, size
+        old = np.ones(m + n_known, bool)
+        old[fresh] = False
+        merged = np.empty(m + n_known, COLUMNS)
+        merged.view(np.uint64)[fresh] = added.view(np.uint64)
+        merged.view(np.uint64)[old] = held.view(np.uint64)
+        held = merged
+        held["prefix"][np.minimum(fresh + 1, len(held) - 1)] = 0
+        held["prefix"][fresh] = 0
+        held["prefix"][m + touched] = common
+    return held["before"], held["prefix"], held["owner"], held["size"]
 
 
 def shared_windows(strings: list[bytes], least: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +294,7 @@ def remove_repeated_bytes(
 ) -> DataFrame:
     """One row per input row: id, n_bytes, n_removed, n_spans (maximal removed runs of bytes), kept (the bytes that stay).
 
-    A byte goes if a string of `window` bytes (2 to 190) of its document covers it that also starts in a document with a smaller id; strings are
+    A byte goes if a string of `window` bytes (2 to 139) of its document covers it that also starts in a document with a smaller id; strings are
     judged on the input, overlaps count, none crosses a text's end. Texts are taken as UTF-8; null counts as empty, texts shorter than the
     window keep all. Rows with a null id keep theirs and take no part; rows that repeat an id count as one document, none removes the
     other's bytes. Other columns are not read. An empty table gives an empty result.

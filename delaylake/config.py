@@ -49,6 +49,7 @@ TABLES = {
                   ts_col="kpi_date", stale_hours=48),
         TableSpec("docs.gtfs_rt_batch", schemas.DOC_STORE, "loads"),
         TableSpec("docs.gtfs_rt_stream", schemas.DOC_STORE, "loads"),
+        TableSpec("docs.sent_batches", schemas.SENT_BATCHES, "loads"),
         TableSpec("ops.run_log", schemas.RUN_LOG, "loads"),
         TableSpec("ops.commit_log", schemas.COMMIT_LOG, "loads"),
         TableSpec("ops.changed_days", schemas.CHANGED_DAYS, "loads"),
@@ -56,6 +57,7 @@ TABLES = {
         TableSpec("flow.bronze_hub", schemas.FLOW_BRONZE_HUB, "stream"),
         TableSpec("flow.silver_fact", schemas.FLOW_SILVER_FACT, "loads"),
         TableSpec("flow.silver_dim_route", schemas.SILVER_DIM_ROUTE, "versions"),
+        TableSpec("flow.kpi_partials", schemas.KPI_PARTIALS, "loads"),
         TableSpec("flow.gold_kpi_daily", schemas.FLOW_GOLD_KPI, "versions"),
         TableSpec("flow.gold_kpi_enriched", schemas.FLOW_GOLD_ENRICHED, "versions"),
     )

@@ -23,9 +23,9 @@ from delaylake.functions import (
     kpi_date_by_text,
     route_type_label,
 )
-from delaylake.operators import combine, facts, kpi, monitor, quality, ranking, routes
+from delaylake.operators import bitmaps, combine, facts, kpi, monitor, partials, quality, ranking, routes
 from delaylake.operators.upsert import advance_watermark, append_if_absent, upsert
-from delaylake.plans import daily, medallion
+from delaylake.plans import daily, ingest, medallion
 from delaylake.session import configure
 from delaylake.sources import documents, messages
 from delaylake.streaming import flows
@@ -845,3 +845,90 @@ def _(x: Inputs) -> DataFrame:
 @query("incremental_run_silver", f", {_STORED} SELECT * FROM stored")
 def _(x: Inputs) -> DataFrame:
     return storage.read_table(x.spark, _stored_run(x, incremental=True), medallion.SILVER)
+
+
+@query("daily_run_branches", f"""
+, {_STORED}, stored_kpi AS (
+SELECT CAST(event_ts AS DATE) AS kpi_date, route_id, count(*) AS trip_update_cnt, avg(delay_sec) AS avg_delay_sec
+  FROM stored WHERE is_valid GROUP BY 1, 2)
+SELECT k.*, d.route_short_name, d.route_type, d.effective_from FROM stored_kpi k JOIN dim d USING (route_id)""")
+def _(x: Inputs) -> DataFrame:
+    cfg = _stored_run(x, incremental=False)
+    gold, dim = (storage.read_table(x.spark, cfg, t) for t in (medallion.GOLD, medallion.DIM))
+    named = gold.join(dim.filter(F.col("route_id") != fv.UNKNOWN_ROUTE), "route_id")
+    return named.select(
+        "kpi_date", "route_id", "trip_update_cnt", "avg_delay_sec", "route_short_name", "route_type", "effective_from"
+    )
+
+
+@query("freshness_stored", f"""
+, {_STORED}, top AS (
+  SELECT 'bronze.gtfs_rt_events' AS table_name, count(*) AS row_count, TIMESTAMP '{src.NOW}' AS latest,
+    24 AS threshold_hours FROM batch
+  UNION ALL SELECT 'bronze.eventhub_gtfs_raw', count(*), max(bronze_ingest_ts), 2 FROM hub
+  UNION ALL SELECT 'silver.fact_trip_delay_event', count(*), max(event_ts), 24 FROM stored),
+aged AS (
+  SELECT table_name, row_count, substr(CAST(latest AS VARCHAR), 1, 19) AS latest,
+    (epoch_us(TIMESTAMP '{src.NOW}') - epoch_us(latest)) / 3600000000.0::DOUBLE AS age, threshold_hours FROM top
+  UNION ALL
+  SELECT 'gold.route_delay_kpi_daily', count(*), CAST(max(kpi_date) AS VARCHAR),
+    date_diff('day', max(kpi_date), DATE '{src.TODAY}') * 24.0::DOUBLE, 48
+  FROM (SELECT DISTINCT CAST(event_ts AS DATE) AS kpi_date, route_id FROM stored WHERE is_valid))
+SELECT table_name, row_count, latest, round(age, 1) AS age_hours, CAST(threshold_hours AS INTEGER)
+    AS threshold_hours, CASE WHEN age > threshold_hours THEN 'STALE' ELSE 'OK' END AS status FROM aged""")
+def _(x: Inputs) -> DataFrame:
+    cfg = _stored_run(x, incremental=False)
+    names = (medallion.EVENTS, medallion.HUB, medallion.SILVER, medallion.GOLD)
+    return monitor.freshness_of(
+        [(n, storage.stored_extent(x.spark, cfg, n), cfg.spec(n).stale_hours) for n in names], src.now()
+    )
+
+
+@query("kpi_from_partials", "SELECT * FROM flow_kpi")
+def _(x: Inputs) -> DataFrame:
+    cfg = _lake(x)
+    for name, rows in (("batch", facts.silver_from_batch(x.batch)), ("hub", facts.silver_from_hub(x.hub))):
+        storage.append(quality.expect_or_drop(rows, quality.SILVER_FACT_RULES), cfg, flows.SILVER, name)
+        # Gold takes in what is new, and no event twice.
+        flows.partials_flow(x.spark, cfg).awaitTermination()
+    return partials.kpi_from_partials(storage.read_table(x.spark, cfg, flows.PARTIALS))
+
+
+@query("distinct_routes_by_period", """
+, days AS (SELECT CAST(event_ts AS DATE) AS d, route_id FROM silver WHERE event_ts IS NOT NULL),
+spans AS (
+  SELECT 'day' AS period, d AS start, route_id FROM days
+  UNION ALL SELECT 'week', CAST(date_trunc('week', d) AS DATE), route_id FROM days
+  UNION ALL SELECT 'month', CAST(date_trunc('month', d) AS DATE), route_id FROM days
+  UNION ALL SELECT 'all', (SELECT min(d) FROM days WHERE route_id IS NOT NULL), route_id FROM days)
+SELECT period, start, count(DISTINCT route_id) AS distinct_keys FROM spans WHERE route_id IS NOT NULL GROUP BY 1, 2""")
+def _(x: Inputs) -> DataFrame:
+    numbers = bitmaps.numbered(x.dim, "route_id")
+    days = bitmaps.day_bitmaps(x.silver, numbers, "route_id", F.to_date("event_ts"))
+    return bitmaps.distinct_by_period(days)
+
+
+@query("poll_cycle_stores", """
+SELECT CASE WHEN is_stream THEN 'stream' ELSE 'batch' END AS segment, is_stream AS sent, id, route_id,
+  first_stop_delay_sec FROM trip_docs""")
+def _(x: Inputs) -> DataFrame:
+    cfg, sent = _lake(x), f"{_lake(x).root}/sent"
+    entities = src.entities(x.base)
+
+    def lose(_values: DataFrame) -> None:
+        raise ConnectionError("the receiver is away")
+
+    # The first poll stores and fails to send; its repeat sends what was stored.
+    for send in (lose, lambda values: values.write.parquet(sent)):
+        try:
+            ingest.ingest_cycle(x.spark, cfg, entities, "poll-1", src.now(), send=send)
+        except ConnectionError:
+            continue
+    fields = ("id", "route_id", "payload.first_stop_delay_sec")
+    ids = documents.parse_docs(x.spark.read.parquet(sent)).select(F.col("id").alias("sent_id")).distinct()
+    docs = combine.union_all([
+        documents.parse_docs(ingest.stored_documents(x.spark, cfg, s)).select(F.lit(s).alias("segment"), *fields)
+        for s in ("batch", "stream")
+    ])
+    known = docs.join(ids, docs["id"] == ids["sent_id"], "left")
+    return known.select("segment", F.col("sent_id").isNotNull().alias("sent"), "id", "route_id", "first_stop_delay_sec")

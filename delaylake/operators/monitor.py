@@ -41,9 +41,16 @@ def freshness(tables: Iterable[tuple[str, DataFrame, str, int]], now: Column) ->
     ``tables`` lists (name, frame, time column, limit in hours).  Timestamps give
     fractional hours, dates whole days; an empty table has the sentinel age.
     """
-    def one(name: str, df: DataFrame, ts_col: str, limit: int) -> DataFrame:
-        is_date = isinstance(df.schema[ts_col].dataType, DateType)
-        top = df.agg(F.count(F.lit(1)).alias("row_count"), F.max(ts_col).alias("latest"))
+    def top(df: DataFrame, ts_col: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("row_count"), F.max(ts_col).alias("latest"))
+
+    return freshness_of([(name, top(df, ts_col), limit) for name, df, ts_col, limit in tables], now)
+
+
+def freshness_of(extents: Iterable[tuple[str, DataFrame, int]], now: Column) -> DataFrame:
+    """The same from (name, one row of row_count and latest, limit in hours), wherever the rows come from."""
+    def one(name: str, top: DataFrame, limit: int) -> DataFrame:
+        is_date = isinstance(top.schema["latest"].dataType, DateType)
         exact = F.coalesce(_age_hours(F.col("latest"), is_date, now), F.lit(fv.EMPTY_AGE_HOURS))
         latest_text = F.substring(F.col("latest").cast("string"), 1, 19)
         return top.select(
@@ -55,7 +62,7 @@ def freshness(tables: Iterable[tuple[str, DataFrame, str, int]], now: Column) ->
             F.when(exact > limit, "STALE").otherwise("OK").alias("status"),
         )
 
-    return union_all([one(*t) for t in tables])
+    return union_all([one(*t) for t in extents])
 
 
 def overlong_runs(run_log: DataFrame, limit_ms: float = fv.RUN_LIMIT_MS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Mapping
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from delaylake import storage
 from delaylake.config import LakeConfig
 from delaylake.plans import export, medallion
+from delaylake.plans.branches import run_branches
 from delaylake.plans.ingest import LoadResult, load_documents, load_reference
 
 
@@ -24,20 +26,35 @@ def run_daily(
     incremental: bool = False,
     jdbc: Mapping[str, str] | None = None,
 ) -> LoadResult:
-    """Both branches, joined at the KPIs, then the export where a database is given.
+    """Both branches side by side, joined at the KPIs, then the export where a database is given.
+
+    A branch that fails leaves the other complete, and gold as it was.
 
     ``incremental`` merges only what bronze gained since the last run and
     recomputes only the changed days, those of an interrupted earlier run included; the
     tables come out the same. A run that raises leaves a FAILED row in the run log.
     """
-    with storage.failures_logged(spark, cfg, "daily_run", uuid.uuid4().hex):
-        loaded = load_documents(spark, cfg, docs, now=now)
+    loading = threading.Event()
+
+    def facts_branch() -> LoadResult:
+        try:
+            loaded = load_documents(spark, cfg, docs, now=now)
+        finally:
+            loading.set()
         if incremental:
             medallion.stream_silver(spark, cfg)
         else:
             medallion.run_silver(spark, cfg)
+        return loaded
+
+    def dimension_branch() -> None:
         load_reference(spark, cfg, routes, snapshot_date, now)
+        # Routes that only documents name come from what bronze holds: this run's load, or earlier ones if it failed.
+        loading.wait()
         medallion.run_dimension(spark, cfg, F.lit(snapshot_date).cast("date"))
+
+    with storage.failures_logged(spark, cfg, "daily_run", uuid.uuid4().hex):
+        loaded = run_branches(spark, cfg, "daily_run", {"facts": facts_branch, "dimension": dimension_branch})["facts"]
         if incremental:
             medallion.run_pending_gold(spark, cfg)
         else:

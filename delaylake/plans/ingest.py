@@ -28,6 +28,7 @@ from delaylake.sources.reference import route_snapshot
 STORES = {"batch": "docs.gtfs_rt_batch", "stream": "docs.gtfs_rt_stream"}
 EVENTS = "bronze.gtfs_rt_events"
 REFERENCE = "bronze.dim_route_ref"
+SENT = "docs.sent_batches"
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,9 @@ def ingest_cycle(
 
     A store gains one load per poll; the upsert by (id, route_id) happens when the
     store is read.  One instant holds for the whole poll.  ``send`` takes the message values, read from the
-    stored load.  Repeating a batch id stores and sends nothing.  Returns the documents added per store.
+    stored load; a batch counts as sent once ``send`` has returned.  Repeating a batch id stores nothing, and sends
+    only what was stored and not sent: at least once, with ids that make a second arrival harmless.  Returns the
+    documents added per store.
     """
     t0 = time.time()
     now = storage.instant() if now is None else now
@@ -60,8 +63,8 @@ def ingest_cycle(
         counts = {}
         for segment, part in zip(("batch", "stream"), route_docs(docs), strict=True):
             counts[segment] = _store(spark, cfg, STORES[segment], part, batch_id, now)
-            if segment == "stream" and send is not None and counts[segment]:
-                send(storage.read_load(spark, cfg, STORES[segment], batch_id).select("value"))
+        if send is not None:
+            _send_stored(spark, cfg, batch_id, now, send)
     total = sum(counts.values())
     detail = json.dumps({**counts, "segment_mode": mode})
     latency = round((time.time() - t0) * 1000, 1)
@@ -71,6 +74,20 @@ def ingest_cycle(
     return counts
 
 
+def _send_stored(
+    spark: SparkSession, cfg: LakeConfig, batch_id: str, now: Column, send: Callable[[DataFrame], None]
+) -> None:
+    """Hand over the stored messages of a batch unless that was done, then note it."""
+    store = STORES["stream"]
+    if storage.has_load(spark, cfg, SENT, batch_id) or not storage.has_load(spark, cfg, store, batch_id):
+        return
+    values = storage.read_load(spark, cfg, store, batch_id).select("value")
+    if not values.isEmpty():
+        send(values)
+    note = spark.range(1).select(F.lit(batch_id).alias("batch_id"), now.cast("timestamp").alias("sent_at"))
+    storage.append(note, cfg, SENT, batch_id)
+
+
 def _store(spark: SparkSession, cfg: LakeConfig, store: str, part: DataFrame, batch_id: str, now: Column) -> int:
     """Documents that this call added to a store: none if the batch was there."""
     if storage.has_load(spark, cfg, store, batch_id):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DateType,
     DoubleType,
@@ -123,3 +124,9 @@ MESSAGE_TEXT = _struct(
                         ("first_stop_delay_sec", _S))),
 )
 REFERENCE_TEXT = _struct(("route_short_name", _S), ("route_long_name", _S), ("route_type", _S))
+# Batches whose messages were handed over.
+SENT_BATCHES = _struct(("batch_id", _S), ("sent_at", _TS))
+# Partial results of daily KPIs, any number of rows for a day and route.
+KPI_PARTIALS = _struct(
+    ("kpi_date", _DT), ("route_id", _S), ("events", _L), ("delays", _L), ("delay_sum", _L), ("sketch", BinaryType()),
+)

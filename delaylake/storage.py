@@ -18,7 +18,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from delaylake.config import LakeConfig, TableSpec
 from delaylake.operators.combine import union_all
@@ -188,6 +188,47 @@ def read_table(spark: SparkSession, cfg: LakeConfig, name: str) -> DataFrame:
     return read_stored(spark, cfg, name).select(*cfg.spec(name).schema.names)
 
 
+@contextmanager
+def _second_source(spark: SparkSession) -> Iterator[None]:
+    """Parquet read through the second version of its source, which can take aggregates."""
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(s for s in before.split(",") if s.strip() != "parquet"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored_extent(spark: SparkSession, cfg: LakeConfig, name: str) -> DataFrame:
+    """(row_count, latest) of a table and its time column, one row, from file footers: no column is read.
+
+    Footers hold times as microseconds, so that is what the files are asked for.  The partition
+    column and a catalog's table are aggregated as usual.
+    """
+    spec = cfg.spec(name)
+    ts = spec.ts_col
+    kind = spec.schema[ts].dataType
+    is_date = isinstance(kind, DateType)
+    count, top = F.count(F.lit(1)).alias("row_count"), F.max(ts).alias("latest")
+    if cfg.sql_catalog or spec.kind == "stream" or ts == spec.partition_by:
+        return read_stored(spark, cfg, name).agg(count, top) if not cfg.sql_catalog else read_table(spark, cfg, name).agg(count, top)
+    at = snapshot(spark, cfg, name)
+    covered = set(at.state.covers)
+    dirs = list(at.state.dirs) + [f"load_id={i}" for i in at.loads if i not in covered]
+    if not dirs:
+        return spark.createDataFrame([(0, None)], StructType([StructField("row_count", LongType(), False), StructField("latest", kind)]))
+    # All columns as the files have them, flat: footers are looked up by position.
+    schema = StructType([
+        StructField(f.name, LongType() if f.name == ts and not is_date else f.dataType)
+        for f in _stored_schema(spec).fields if f.name != spec.partition_by
+    ])
+    with _second_source(spark):
+        rows = spark.read.schema(schema).parquet(*[f"{cfg.path(name)}/{d}" for d in dirs])
+    found = rows.agg(count, top)
+    return found if is_date else found.select("row_count", F.timestamp_micros("latest").alias("latest"))
+
+
 def stream_table(
     spark: SparkSession, cfg: LakeConfig, name: str, max_files: int | None = None
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from delaylake import storage
 from delaylake.config import LakeConfig
 from delaylake.functions import stamp
-from delaylake.operators import kpi, quality
+from delaylake.operators import kpi, partials, quality
 from delaylake.operators.combine import union_all
 from delaylake.operators.facts import silver_from_batch, silver_from_hub
 from delaylake.sources.messages import parse_hub
@@ -67,6 +67,19 @@ def append_flow(
     return start(writer, cfg.checkpoint(name, refreshed=True), trigger, available_now)
 
 
+PARTIALS = "flow.kpi_partials"
+
+
+def partials_flow(spark: SparkSession, cfg: LakeConfig, max_files: int | None = None) -> StreamingQuery:
+    """Each micro-batch of silver adds its partial KPIs as one load; a replayed batch adds nothing, and no day is read again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        storage.append(partials.kpi_partials(batch, cast_day=False), cfg, PARTIALS, f"kpi_partials-b{batch_id:09d}")
+
+    writer = storage.stream_table(spark, cfg, SILVER, max_files).writeStream.foreachBatch(write).outputMode("append")
+    return start(writer, cfg.checkpoint("kpi_partials", refreshed=True), available_now=True)
+
+
 class Totals(StreamingQueryListener):
     """Observed metrics of every micro-batch, summed as the batches end; a query itself only remembers its last ones."""
 

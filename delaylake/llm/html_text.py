@@ -32,7 +32,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HIDDEN = frozenset("script style noscript template iframe svg head title textarea button select option".split())
 AWAY = frozenset("nav footer aside form menu dialog".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|</?\Z|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.DOTALL)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|</?\Z|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 SPACES = re.compile(r"\s+")
 NAMES = re.compile(r"[a-z]+|\d+")
@@ -44,7 +44,8 @@ SIDE = frozenset(
 )
 MAIN = frozenset("article content main post entry story body text".split())
 
-# Weights of the classifier in log odds for content; capacities are in thousandths.
+# Weights of the classifier in log odds for content, set by hand; capacities are in thousandths. The longest plain block has 3.6, and a mark
+# beside the text must outweigh that together with a heading and both its edges: 8 for names, which are guesses, 9 for elements.
 BIAS, PER_WORD, WORDS_MOST = -0.2, 0.08, 40
 SENTENCE, LINKED, IN_ARTICLE, IN_MAIN, HEADING = 0.6, -4.0, 5.0, 2.0, 1.0
 IN_AWAY, IN_SIDE, IN_HEADER = -9.0, -8.0, -6.0
@@ -181,7 +182,8 @@ def odds(b: Block) -> float:
     """Log odds that a block is content."""
     words = len(b.text.split())
     x = BIAS + PER_WORD * min(words, WORDS_MOST) + SENTENCE * (b.text[-1:] in ".!?…\"”") + LINKED * (b.linked / max(1, words)) ** 2
-    x += IN_ARTICLE * b.article + IN_MAIN * b.main + HEADING * b.heading
+    # What is marked as beside the text takes nothing from the article around it: no length outweighs the mark.
+    x += (IN_ARTICLE * b.article + IN_MAIN * b.main) * (not b.side and not b.away) + HEADING * b.heading
     return x + IN_AWAY * b.away + IN_SIDE * b.side + IN_HEADER * (b.header and not (b.article and b.heading))
 
 
@@ -257,7 +259,12 @@ def content(blocks: list[Block]) -> list[bool]:
         if k:
             net.join(k - 1, k, near, near)
         net.join(k, parents[b.parent], kin, kin)
-    return net.source_side(source, sink)[:n]
+    labels = net.source_side(source, sink)[:n]
+    if any(labels):
+        return labels
+    # A page of a few words, or one that is marked as a whole: what bears no mark, else what stands in an article.
+    plain = [not (b.side or b.away or b.header) and b.linked < max(1, len(b.text.split())) for b in blocks]
+    return plain if any(plain) else [(b.article or b.main) and not b.away for b in blocks]
 
 
 def main_text(page: str) -> str:

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from delaylake.llm.shared import col, free_name
 
 ROUNDS = 8
+# Fixed value: 64 characters before the sign and 255 after it.
+LONGEST_EMAIL = 320
 # Formats, tried in this order at each place.
 FORMATS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    # From the first character of a run only: a long run without @ is tried once.
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "date": r"(?<![\d.])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?!\d|[./]\d)",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -160,13 +163,17 @@ def phone(value: Column, key: str) -> Column:
 
 
 def kind_of(value: Column) -> Column:
-    """Format of a find, or null if it isn't valid in any: octets to 255, dates of the calendar from 1901 to 2099."""
+    """Format of a find, or null if it isn't valid in any: octets to 255 without leading zeros, dates of the calendar from 1901 to 2099,
+    cards and account numbers with right check digits, e-mail addresses of the length the standard allows."""
     whole = lambda name: value.rlike(f"^(?:{FORMATS[name]})$")
-    octets = F.forall(F.split(value, r"\."), lambda x: x.cast("int") <= 255)
+    octets = F.forall(F.split(value, r"\."), lambda x: (x.cast("int") <= 255) & ~x.rlike("^0."))
+    digits, plain = F.regexp_replace(value, r"\D", ""), F.regexp_replace(value, " ", "")
+    luhn = luhn_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.substring(digits, F.length(digits), F.lit(1)).cast("int")
+    checked = iban_rest(F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))) == F.substring(plain, 3, 2).cast("int")
     in_range = F.coalesce(day_of(value).between(F.lit(FIRST_DAY).cast("date"), F.lit("2099-12-31").cast("date")), F.lit(False))
     return (
-        F.when(whole("email"), "email").when(whole("date"), F.when(in_range, "date")).when(whole("ip"), F.when(octets, "ip"))
-        .when(whole("iban"), "iban").when(whole("card"), "card").when(whole("phone"), "phone").when(whole("ssn"), "ssn")
+        F.when(whole("email"), F.when(F.length(value) <= LONGEST_EMAIL, "email")).when(whole("date"), F.when(in_range, "date")).when(whole("ip"), F.when(octets, "ip"))
+        .when(whole("iban"), F.when(checked, "iban")).when(whole("card"), F.when(luhn, "card")).when(whole("phone"), "phone").when(whole("ssn"), "ssn")
     )
 
 
@@ -182,7 +189,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """All rows and columns, the text with pseudonyms in place of personal data, and n_values: how many were replaced.
 
     Found are e-mail addresses, IPv4 addresses, dates, account numbers (IBAN), numbers of 13 to 19 digits (cards), telephone and social security
-    numbers. A find that isn't valid (an octet over 255, a day that no calendar has) stays. Null stays null with 0 values; an empty text
+    numbers. A find that isn't valid (an octet over 255, a day that no calendar has, a wrong check digit) stays. Null stays null with 0 values; an empty text
     stays empty; equal rows get equal results. An input column n_values is replaced. The key is a secret of the caller.
     """
     held = F.coalesce(col(text), F.lit(""))

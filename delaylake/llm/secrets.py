@@ -8,7 +8,6 @@ private keys with their length-prefixed parts, and signed tokens whose header an
 from __future__ import annotations
 
 import base64
-import binascii
 import json
 import re
 from collections.abc import Iterator
@@ -28,7 +27,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 # Base64 over lines too, as key files have it; the run is cut where decoding shows its end.
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:MI|MH|MF|MC|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/]{30,}(?:(?:\\n|\r?\n)[A-Za-z0-9+/]+)*={0,2}")
+# 0x30, a sequence, is M and one of A to P whatever its length; lines may be indented.
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/]{30,}(?:(?:\\n|\r?\n)[ \t]*[A-Za-z0-9+/]+)*")
+SYMBOL = re.compile(r"(?<!\\)[A-Za-z0-9+/]")
+PADDING = re.compile(r"={0,2}")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{60,}(?![0-9A-Fa-f])")
 
 KINDS = ("assign", "access", "hex", "key", "token")
@@ -92,12 +94,36 @@ def names_algorithm(data: bytes, item: tuple[int, int, int]) -> bool:
     return bool(inner) and inner[0][0] == OBJECT_ID and inner[0][2] > inner[0][1]
 
 
-def decoded(run: str) -> bytes | None:
-    body = re.sub(r"\\n|\s", "", run).rstrip("=")
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True) if len(body) % 4 != 1 else None
-    except (binascii.Error, ValueError):
+def whole_size(data: bytes) -> int | None:
+    """Bytes that an encoding that begins here says it has: an item with its tag and length, or an OpenSSH key with all its parts."""
+    if data.startswith(b"openssh-key-v1\0"):
+        at = 15
+        for part in ("cipher", "derivation", "options", "number of keys", "public key", "private part"):
+            if at + 4 > len(data):
+                return None
+            n = int.from_bytes(data[at : at + 4], "big")
+            if part == "number of keys" and n != 1:
+                return None
+            at += 4 + (n if part != "number of keys" else 0)
+        return at
+    if len(data) < 2 or data[1] < 0x80:
+        return 2 + data[1] if len(data) > 1 else None
+    n = data[1] - 0x80
+    return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if 1 <= n <= 4 and len(data) >= 2 + n else None
+
+
+def key_end(run: str) -> int | None:
+    """Where the key that begins a base64 run ends: whatever follows its last byte, such as lines of words, is cut off; None if it is no key."""
+    places = [m.start() for m in SYMBOL.finditer(run)]
+    body = "".join(run[k] for k in places)
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    data = base64.b64decode(body + "=" * (-len(body) % 4))
+    size = whole_size(data)
+    if data.startswith(b"openssh") and (size is None or size > len(data)):
+        size = len(data)  # encrypted or cut short after its three named parts
+    if size is None or size > len(data) or not is_key(data[:size]):
         return None
+    return places[-(-size * 8 // 6) - 1] + 1
 
 
 def json_part(part: str) -> dict | None:
@@ -114,9 +140,10 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     for m in BASE64.finditer(text):
-        data = decoded(m[0])
-        if data is not None and is_key(data):
-            out.append((m.start(), 3, m.end()))
+        end = key_end(m[0])
+        if end is not None:
+            stop = m.start() + end
+            out.append((m.start(), 3, stop + len(PADDING.match(text, stop)[0])))
     for m in HEX_KEY.finditer(text):
         if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
             out.append((m.start(), 3, m.end()))

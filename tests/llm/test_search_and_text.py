@@ -272,3 +272,70 @@ def test_gradients_lower_the_loss():
     m = toxicity.fit_numpy(slots, labels, np.ones(200, np.float32), 64, epochs=20)
     p = toxicity.sigmoid(np.concatenate([toxicity.logits(m, s, np.array([len(s)])) for s in slots]))
     assert ((p > 0.5) == labels).mean() > 0.95
+
+
+def small_p256_key():
+    """PKCS 8 for P-256 without the public part: 67 bytes, MEECAQ... in base64."""
+    algorithm = der(0x30, der(6, bytes.fromhex("2a8648ce3d0201")) + der(6, bytes.fromhex("2a8648ce3d030107")))
+    return der(0x30, der(2, b"\x00") + algorithm + der(4, der(0x30, der(2, b"\x01") + der(4, bytes(range(1, 33))))))
+
+
+@pytest.mark.parametrize("form", ["PRIVATE_KEY={}", "key: |\n    {}\n", "'{}'", "k={}\nwords that follow the key", "{}\nlettersonly\nmore"])
+def test_keys_in_the_forms_of_real_files(form):
+    import base64
+
+    raw = small_p256_key()
+    coded = base64.b64encode(raw).decode()
+    assert coded.startswith("MEECAQ")
+    lines = coded[:64] + ("\n    " if "|" in form else "\n") + coded[64:]
+    for body in (coded, lines, coded.rstrip("="), lines.rstrip("=")):
+        text = form.format(body)
+        at = text.index("MEE")
+        assert (3, at, at + len(body)) in secrets.spans_of(text), text
+    # An item of another kind where the version stands.
+    broken = base64.b64encode(raw[:2] + b"\x05" + raw[3:]).decode()
+    assert not [s for s in secrets.spans_of(form.format(broken.rstrip("="))) if s[0] == 3]
+
+
+def test_long_runs_without_spaces_are_read_once(spark):
+    import time
+
+    run = "ab1" * 350_000
+    t0 = time.time()
+    secrets.spans_of("M" + run)
+    assert time.time() - t0 < 4
+    t0 = time.time()
+    rows = spark.createDataFrame([(1, run), (2, run + "@x.org")], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(rows, "k").select("doc_id", "n_values").collect()}
+    assert got[1].n_values == 0 and time.time() - t0 < 60
+
+
+def test_only_numbers_with_right_check_digits_are_personal(spark):
+    texts = ["at 1700000000000 ms", "order 12345678901234", "isbn 9780306406157", "card 4111 1111 1111 1111", "card 4111 1111 1111 1112", "DE89 3704 0044 0532 0130 00", "DE88 3704 0044 0532 0130 00", "1.2.3.4", "01.2.3.4"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r.n_values for r in pii.pseudonymise(rows, "k").orderBy("doc_id").collect()]
+    luhn = lambda s: sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(int(c) for c in reversed(s))) % 10 == 0
+    assert got == [int(luhn("1700000000000")), int(luhn("12345678901234")), int(luhn("9780306406157")), 1, 0, 1, 0, 1, 0]
+
+
+LONG_COMMENT = "I have read this piece twice now and I must say that the author is quite wrong about the whole matter, as anyone who has ever lived there for some years could have told them at once without any trouble at all."
+
+
+@pytest.mark.parametrize("page", [
+    "<html><body><article><h1>Title</h1><p>{a}</p><p>{a}</p><div class='comments'><p>{c}</p><p>{c}</p></div></article></body></html>",
+    "<html><body><main><article><h1>Title</h1><p>{a}</p><p>{a}</p><section id='comments'><div><p>{c}</p></div></section></article></main></body></html>",
+    "<html><body><main><article><h1>Title</h1><p>{a}</p><aside><p>{c}</p></aside><p>{a}</p></article></main></body></html>",
+    "<html><body><article><p>{a}</p><div class='ad'><p>{c}</p></div><p>{a}</p></article><section class='comments'><article><p>{c}</p></article></section></body></html>",
+])
+def test_long_parts_beside_the_text_stay_out(page):
+    article = "The river rose by two metres overnight, and by morning the lower streets of the town were under water."
+    text = html_text.main_text(page.format(a=article, c=LONG_COMMENT))
+    assert text.count(article) == 2 and "author is quite wrong" not in text
+
+
+def test_short_pages_and_broken_quotes():
+    assert html_text.main_text("<p>Hello there</p>") == "Hello there"
+    assert html_text.main_text("<nav><a href='/'>Home</a></nav><p>Hello there</p>") == "Hello there"
+    page = "<body><p>First words of the page stand here.</p><a href=\"x>link</a><p>Second words of the page stand here.</p></body>"
+    assert "First words" in html_text.main_text(page) and "Second words" in html_text.main_text(page)
+    assert html_text.main_text("<p title='a > b'>Kept as it is, with a sign in a quoted value.</p>") == "Kept as it is, with a sign in a quoted value."

@@ -6,18 +6,21 @@ round t + j then sends every shingle to bin j, so each coordinate fills. Bands o
 
 Documents with equal sets form a class, its smallest id stands for it. In a bucket, members are compared with one pivot, not with each other;
 further rounds take other pivots for what is not yet connected. Documents that share a bucket with many of a component
-but have no link yet are then compared with that component block by block inside tasks, and what else shares a bucket
-in pairs, once each, if the sketches allow the similarity. Every link is confirmed on the full sets. Connected documents
-need no further comparison, so large groups of copies cost rows in proportion to their size.
+but have no link yet are then compared with that component block by block, each two blocks in a task of their own. What
+else shares a bucket meets by its rarest shingles: sets that are similar enough must share one of them (prefix filter, exact),
+so documents of one template, which share only what is frequent, don't meet. Every link is confirmed on the full sets. Connected
+documents need no further comparison, so large groups of copies cost rows in proportion to their size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from delaylake.llm.components import connected_components
@@ -29,9 +32,19 @@ PIVOT_ROUNDS = 2
 # Members of a component in one bucket from which on it is compared in blocks; this chooses the plan, not the result.
 BLOCK_LEAST = 32
 BLOCK_BYTES = 1 << 20
-# One bit of each coordinate estimates a similarity; pairs are left out only this many deviations below the least one.
-DEVIATIONS = 4.5
-SKETCH = "id long, n_shingles long, set_a long, set_b long, bands array<long>, signs array<long>"
+# Words from this length on, in bytes, get a cryptographic hash: of the polynomial one, long words can be made that collide.
+LONG_WORD = 256
+ITEMS = 1 << 17
+SET_OF = ["row", "id", "size", "comp"]
+SKETCH = "id long, n_shingles long, set_a long, set_b long, bands array<long>"
+
+
+def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of the texts, and the text of each."""
+    w = words_of(texts, lower=True)
+    for k in np.flatnonzero(w.end - w.start >= LONG_WORD):
+        w.hashes[k] = int.from_bytes(blake2b(w.data[w.start[k] : w.end[k]], digest_size=8).digest())
+    return distinct(*ngrams(w, n))
 
 
 def distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,20 +89,13 @@ def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
-def sign_bits(table: np.ndarray) -> np.ndarray:
-    """The lowest bit of every mixed coordinate, 64 to a number."""
-    bits = (mix(table) & np.uint64(1)).astype(np.uint8)
-    bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 64)))
-    return np.packbits(bits, axis=1).view(np.uint64)
-
-
 def sketches(docs: DataFrame, text: str, doc_id: str, shingle: int, bands: int, rows: int) -> DataFrame:
     """Size, 128-bit fingerprint of the set and band keys of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             n = batch.num_rows
-            items, owner = distinct(*ngrams(words_of(batch.column("text"), lower=True), shingle))
+            items, owner = shingles(batch.column("text"), shingle)
             size = np.bincount(owner, minlength=n)
             first = np.concatenate([[0], np.cumsum(size)])[:-1]
             some = size > 0
@@ -97,14 +103,13 @@ def sketches(docs: DataFrame, text: str, doc_id: str, shingle: int, bands: int,
             if len(items):
                 prints[0, some] = np.add.reduceat(mix(items ^ np.uint64(0x1234567)), first[some])
                 prints[1, some] = np.bitwise_xor.reduceat(mix(items + np.uint64(0x89ABCDEF)), first[some])
-            table = sketch(items, owner, n, bands * rows)
-            keys, signs = band_keys(table, bands, rows), sign_bits(table)
+            keys = band_keys(sketch(items, owner, n, bands * rows), bands, rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), pa.array(size.astype(np.int64)), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
-                    *(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel())) for x in (keys, signs)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.view(np.int64).ravel())),
                 ],
-                ["id", "n_shingles", "set_a", "set_b", "bands", "signs"],
+                ["id", "n_shingles", "set_a", "set_b", "bands"],
             )
 
     return docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("text")).mapInArrow(run, SKETCH)
@@ -115,7 +120,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            items, owner = distinct(*ngrams(words_of(batch.column("text"), lower=True), shingle))
+            items, owner = shingles(batch.column("text"), shingle)
             cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             blobs = [items[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(blobs, pa.binary())], ["id", "items"])
@@ -143,24 +148,31 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(comp, id) to (comp, held): the sets of a component in blocks of about BLOCK_BYTES, a longer set alone."""
-    # Blocks are dealt out by sizes alone; sets meet their block, never all of one component in one task.
-    m = members.join(sets.select("id", F.octet_length("items").alias("bytes")), "id")
-    n = m.groupBy("comp").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
-    m = m.join(n, "comp").select("comp", "id", F.pmod(F.xxhash64("id"), F.col("n")).alias("part"))
-    m = m.join(sets, "id").repartition("comp", "part")
-    return m.groupBy("comp", "part").agg(F.collect_list(F.struct("id", "items")).alias("held")).select("comp", "held")
+def n_blocks(members: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """(comp, id) to the number of blocks of about BLOCK_BYTES that each component needs."""
+    return members.join(sets.select("id", F.octet_length("items").alias("bytes")), "id").groupBy("comp").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias(name))
+
+
+def in_blocks(members: DataFrame, sets: DataFrame, n: DataFrame, own: str, other: str, name: str) -> DataFrame:
+    """(comp, id) to (comp, held, sought, name): the sets in blocks, each block once for every block of the other side."""
+    # Only ids meet by component; sets are dealt out by component and both block numbers.
+    m = members.join(n, "comp").select(
+        "comp", "id", F.pmod(F.xxhash64("id"), own).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
+    )
+    return m.join(sets, "id").groupBy("comp", "held", "sought").agg(F.collect_list(F.struct("id", "items")).alias(name))
 
 
 def confirm_blocks(members: DataFrame, seekers: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the seekers and the members of each component."""
-    both = in_blocks(members, sets).join(in_blocks(seekers, sets).withColumnRenamed("held", "sought"), "comp").select("held", "sought")
+    n = n_blocks(members, sets, "held").join(n_blocks(seekers, sets, "sought"), "comp")
+    key = ["comp", "held", "sought"]
+    both = in_blocks(members, sets, n, "held", "sought", "held_sets").join(in_blocks(seekers, sets, n, "sought", "held", "sought_sets"), key)
+    both = both.select("held_sets", "sought_sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for held, sought in zip(batch.column("held").to_pylist(), batch.column("sought").to_pylist(), strict=True):
+            for held, sought in zip(batch.column("held_sets").to_pylist(), batch.column("sought_sets").to_pylist(), strict=True):
                 ids = np.array([r["id"] for r in held])
                 sets = [np.frombuffer(r["items"], np.uint64) for r in held]
                 size = np.array([len(x) for x in sets])
@@ -200,7 +212,49 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
-def last_links(placed: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, t: int) -> DataFrame:
+def exploded(sets: DataFrame) -> DataFrame:
+    """(row, id, size, comp, items) to one row for each shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum([len(x.as_buffer()) // 8 for x in batch.column("items")])
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + ITEMS, side="right")))
+                some = batch.slice(at, to - at)
+                held = [np.frombuffer(x.as_buffer(), np.int64) for x in some.column("items")]
+                whose = pa.array(np.repeat(np.arange(len(held)), [len(x) for x in held]))
+                yield pa.RecordBatch.from_arrays([*(some.column(c).take(whose) for c in SET_OF), pa.array(np.concatenate(held))], [*SET_OF, "item"])
+                at = to
+
+    return sets.select(*SET_OF, "items").mapInArrow(run, "row long, id long, size long, comp long, item long")
+
+
+def rare_pairs(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, comp) to the pairs of different components that can have the similarity, by their rarest shingles.
+
+    With all shingles in one order, sets whose intersection is at least m share one of the first size - m + 1 of each. The larger
+    set needs m of at least percent of itself, the smaller one 2 percent / (100 + percent). Shingles of one component alone come
+    first and are not joined, then rare ones.
+    """
+    # An id may have several sets.
+    sets = sets.select("id", F.monotonically_increasing_id().alias("row"), F.expr("octet_length(items) DIV 8").alias("size"), "items")
+    items = cut(exploded(sets.join(some, "id")))
+    known = items.groupBy("item").agg(F.count("*").alias("n"), (F.min("comp") != F.max("comp")).alias("mixed")).filter("mixed").select("item", "n")
+    mine = W.partitionBy("row")
+    place = F.col("size") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("n", "item"))
+    first = items.join(known, "item").select("id", "size", "comp", "item", place.alias("place"))
+    first = cut(first.filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1))
+    small = first.filter(F.col("place") <= F.col("size") - F.expr(f"(2 * {percent} * size + {99 + percent}) DIV {100 + percent}") + 1)
+    small = small.select("item", *[F.col(c).alias(f"{c}_a") for c in ("size", "comp", "place")], F.col("id").alias("a"))
+    most = F.least("place", "place_a") + F.least(F.col("size") - F.col("place"), F.col("size_a") - F.col("place_a"))
+    return ordered(first.join(small, "item").filter(
+        (F.col("comp") != F.col("comp_a")) & (F.col("size_a") <= F.col("size")) & like_size("size", "size_a", percent)
+        & ((100 + percent) * most >= percent * (F.col("size") + F.col("size_a")))
+    ))
+
+
+def last_links(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of one bucket whose components no pivot has joined."""
     parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     torn = parts.groupBy("bucket").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top")).filter("comps > 1")
@@ -209,18 +263,7 @@ def last_links(placed: DataFrame, labels: DataFrame, classes: DataFrame, sets: D
 
     seekers = rest.filter("main IS NOT NULL").select(F.col("main").alias("comp"), "id").distinct()
     found = confirm_blocks(labels.join(seekers.select("comp").distinct(), "comp", "left_semi"), seekers, sets, percent)
-
-    # Each pair once: in the first band that its members share.
-    x = rest.join(classes.select("id", "bands", "signs"), "id").select("bucket", "id", "size", "comp", "bands", "signs")
-    y = x.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("size", "comp", "bands", "signs")], F.col("id").alias("a"))
-    first = F.element_at(F.filter(F.zip_with("bands", "bands_a", lambda p, q: F.when(p == q, p)), lambda v: v.isNotNull()), 1)
-    unlike = F.aggregate(F.zip_with("signs", "signs_a", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, v: n + v)
-    q = (1 - percent / 100) / 2
-    most = t * q + DEVIATIONS * (t * q * (1 - q)) ** 0.5
-    pairs = x.join(y, "bucket").filter(
-        (F.col("comp") != F.col("comp_a")) & (F.col("a") < F.col("id")) & like_size("size", "size_a", percent) & (unlike <= F.lit(most)) & (first == F.col("bucket"))
-    )
-    return found.union(confirm(ordered(pairs), sets, percent))
+    return found.union(confirm(rare_pairs(rest.select("id", "comp").distinct(), sets, percent), sets, percent))
 
 
 def near_duplicates(
@@ -236,7 +279,7 @@ def near_duplicates(
     docs = docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("text")).filter("id IS NOT NULL")
     rows_of = cut(sketches(docs, "text", "id", shingle, bands, rows))
     key = ["n_shingles", "set_a", "set_b"]
-    classes = cut(rows_of.filter("n_shingles > 0").groupBy(*key).agg(F.min("id").alias("id"), F.min("bands").alias("bands"), F.min("signs").alias("signs")))
+    classes = cut(rows_of.filter("n_shingles > 0").groupBy(*key).agg(F.min("id").alias("id"), F.min("bands").alias("bands")))
     rows_of = rows_of.select("id", *key)
 
     # With fewer than percent / (100 - percent) shingles, only equal sets are similar enough.
@@ -247,16 +290,19 @@ def near_duplicates(
     members = buckets.select("id").distinct()
     sets = cut(shingle_sets(docs.join(members, "id", "left_semi"), shingle))
 
-    labels, links = members.withColumn("comp", F.col("id")), None
+    labels = members.withColumn("comp", F.col("id"))
     for turn in range(PIVOT_ROUNDS + 1):
         placed = buckets.join(labels, "id")
         if turn < PIVOT_ROUNDS:
             found = confirm(ordered(pivot_pairs(placed, turn).filter(like_size("size", "size_a", percent))), sets, percent)
         else:
-            found = last_links(placed, labels, classes, sets, percent, bands * rows)
-        links = cut(found if links is None else links.union(found))
-        labels = connected_components(links)
-        labels = cut(members.join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")))
+            found = last_links(placed, labels, sets, percent)
+        # Links between components so far, not between documents: few are left after the first round.
+        for end in ("a", "b") if turn else ():
+            found = found.join(labels.withColumnRenamed("id", end), end).drop(end).withColumnRenamed("comp", end)
+        joined = connected_components(found).withColumnRenamed("comp", "joined")
+        labels = labels.join(joined.withColumnRenamed("id", "comp"), "comp", "left").select("id", F.coalesce("joined", "comp").alias("comp"))
+        labels = cut(labels)
     reps = classes.select(*key, F.col("id").alias("rep")).join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     found = rows_of.select("id", *key).join(reps, key, "left")
     component = F.coalesce("comp", "rep", "id")

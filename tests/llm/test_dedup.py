@@ -105,6 +105,57 @@ def test_near_group_with_strays(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == near_brute([(r[0], r[1]) for r in rows], 2)
 
 
+def thue_morse(turns, letters):
+    x = letters
+    for _ in range(turns):
+        x += x.translate(str.maketrans(letters, letters[::-1]))
+    return x
+
+
+def test_near_long_words_of_one_hash_stay_apart(spark):
+    """Thue-Morse words collide in polynomial hashes modulo a power of two, whatever the base."""
+    x, y = thue_morse(11, "ab"), thue_morse(11, "ba")
+    w = words.words_of(pa.array([x, y]))
+    assert w.hashes[0] == w.hashes[1]
+    rows = [(1, f"p q r {x}", "en", "s"), (2, f"p q r {y}", "en", "s"), (3, f"p q r {x}", "en", "s")]
+    got = {r.id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows), shingle=2).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_template_documents_do_not_meet(spark):
+    """Documents that share 60 to 75 % of their words with all others are not compared pair by pair; links among them are kept."""
+    rng = random.Random(3)
+    form = [f"t{k}" for k in range(200)]
+    sets = {}
+    for i in range(300):
+        own = rng.choice([46, 60, 80])
+        sets[i] = {f"{i}x{k}" for k in range(own)} | set(form[: 200 - own // 2])
+    for i in range(300, 310):
+        sets[i] = set(sorted(sets[i - 300])[12:])
+    hashed = {i: np.unique(np.array([int.from_bytes(hashlib.sha256(x.encode()).digest()[:8]) for x in v], np.uint64)) for i, v in sets.items()}
+    some = spark.createDataFrame([(i, i) for i in sets], "id long, comp long")
+    held = spark.createDataFrame([(i, v.tobytes()) for i, v in hashed.items()], "id long, items binary")
+    pairs = {tuple(r) for r in near_dedup.rare_pairs(some, held, 80).collect()}
+    similar = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(similar) >= 10 and similar <= pairs and len(pairs) < 3 * len(sets)
+
+
+def test_rare_pairs_lose_nothing(spark):
+    """Sets of every overlap, ids with several sets, repeated rows: all similar pairs of different components are there."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(150):
+        n = rng.randrange(5, 40)
+        rows.append((i, set(rng.sample(range(50), n)) if i % 3 else set(range(n))))
+    rows += [(k, set(rng.sample(range(50), 20))) for k in range(10)] + rows[:5]
+    some = spark.createDataFrame([(i, i % 40) for i in range(150)], "id long, comp long")
+    held = spark.createDataFrame([(i, np.array(sorted(v), np.uint64).tobytes()) for i, v in rows], "id long, items binary")
+    for percent in (50, 80, 95):
+        pairs = {tuple(r) for r in near_dedup.rare_pairs(some, held, percent).collect()}
+        want = {(a, b) for a, x in rows for b, y in rows if a < b and a % 40 != b % 40 and 100 * len(x & y) >= percent * len(x | y)}
+        assert want and want <= pairs
+
+
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_near_small_sets_and_odd_rows(spark, odd, none, n):
     rows = [(k, " ".join(chr(97 + (k * j) % 7) for j in range(k % 9)), "en", "s") for k in range(60)]

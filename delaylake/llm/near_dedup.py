@@ -7,7 +7,7 @@ round t + j then sends every shingle to bin j, so each coordinate fills. Bands o
 Documents with equal sets form a class, its smallest id stands for it. In a bucket, members are compared with one pivot, not with each other;
 further rounds take other pivots for what is not yet connected. Documents that share a bucket with many of a component
 but have no link yet are then compared with that component block by block, each two blocks in a task of their own. What
-else shares a bucket meets by its rarest shingles: sets that are similar enough must share one of them (prefix filter, exact),
+else shares a bucket meets there by its rarest shingles: sets that are similar enough must share one of them (prefix filter, exact),
 so documents of one template, which share only what is frequent, don't meet. Every link is confirmed on the full sets. Connected
 documents need no further comparison, so large groups of copies cost rows in proportion to their size.
 """
@@ -231,7 +231,7 @@ def exploded(sets: DataFrame) -> DataFrame:
 
 
 def rare_pairs(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, comp) to the pairs of different components that can have the similarity, by their rarest shingles.
+    """(id, comp, buckets) to the pairs of different components that share a bucket and can have the similarity, by their rarest shingles.
 
     With all shingles in one order, sets whose intersection is at least m share one of the first size - m + 1 of each. The larger
     set needs m of at least percent of itself, the smaller one 2 percent / (100 + percent). Shingles of one component alone come
@@ -239,18 +239,21 @@ def rare_pairs(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     # An id may have several sets.
     sets = sets.select("id", F.monotonically_increasing_id().alias("row"), F.expr("octet_length(items) DIV 8").alias("size"), "items")
-    items = cut(exploded(sets.join(some, "id")))
+    items = cut(exploded(sets.join(some.select("id", "comp"), "id")))
     known = items.groupBy("item").agg(F.count("*").alias("n"), (F.min("comp") != F.max("comp")).alias("mixed")).filter("mixed").select("item", "n")
     mine = W.partitionBy("row")
     place = F.col("size") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("n", "item"))
     first = items.join(known, "item").select("id", "size", "comp", "item", place.alias("place"))
     first = cut(first.filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1))
+    first = first.join(some.select("id", "buckets"), "id").select("*", F.explode("buckets").alias("bucket"))
     small = first.filter(F.col("place") <= F.col("size") - F.expr(f"(2 * {percent} * size + {99 + percent}) DIV {100 + percent}") + 1)
-    small = small.select("item", *[F.col(c).alias(f"{c}_a") for c in ("size", "comp", "place")], F.col("id").alias("a"))
+    small = small.select("bucket", "item", *[F.col(c).alias(f"{c}_a") for c in ("size", "comp", "place", "buckets")], F.col("id").alias("a"))
     most = F.least("place", "place_a") + F.least(F.col("size") - F.col("place"), F.col("size_a") - F.col("place_a"))
-    return ordered(first.join(small, "item").filter(
+    # A pair that shares several buckets meets in the smallest.
+    return ordered(first.join(small, ["bucket", "item"]).filter(
         (F.col("comp") != F.col("comp_a")) & (F.col("size_a") <= F.col("size")) & like_size("size", "size_a", percent)
         & ((100 + percent) * most >= percent * (F.col("size") + F.col("size_a")))
+        & (F.array_min(F.array_intersect("buckets", "buckets_a")) == F.col("bucket"))
     ))
 
 
@@ -263,7 +266,8 @@ def last_links(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
 
     seekers = rest.filter("main IS NOT NULL").select(F.col("main").alias("comp"), "id").distinct()
     found = confirm_blocks(labels.join(seekers.select("comp").distinct(), "comp", "left_semi"), seekers, sets, percent)
-    return found.union(confirm(rare_pairs(rest.select("id", "comp").distinct(), sets, percent), sets, percent))
+    some = rest.groupBy("id", "comp").agg(F.collect_set("bucket").alias("buckets"))
+    return found.union(confirm(rare_pairs(some, sets, percent), sets, percent))
 
 
 def near_duplicates(

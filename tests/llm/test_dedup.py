@@ -133,7 +133,7 @@ def test_template_documents_do_not_meet(spark):
     for i in range(300, 310):
         sets[i] = set(sorted(sets[i - 300])[12:])
     hashed = {i: np.unique(np.array([int.from_bytes(hashlib.sha256(x.encode()).digest()[:8]) for x in v], np.uint64)) for i, v in sets.items()}
-    some = spark.createDataFrame([(i, i) for i in sets], "id long, comp long")
+    some = spark.createDataFrame([(i, i, [1, 2]) for i in sets], "id long, comp long, buckets array<long>")
     held = spark.createDataFrame([(i, v.tobytes()) for i, v in hashed.items()], "id long, items binary")
     pairs = {tuple(r) for r in near_dedup.rare_pairs(some, held, 80).collect()}
     similar = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
@@ -148,7 +148,7 @@ def test_rare_pairs_lose_nothing(spark):
         n = rng.randrange(5, 40)
         rows.append((i, set(rng.sample(range(50), n)) if i % 3 else set(range(n))))
     rows += [(k, set(rng.sample(range(50), 20))) for k in range(10)] + rows[:5]
-    some = spark.createDataFrame([(i, i % 40) for i in range(150)], "id long, comp long")
+    some = spark.createDataFrame([(i, i % 40, [7, i % 2]) for i in range(150)], "id long, comp long, buckets array<long>")
     held = spark.createDataFrame([(i, np.array(sorted(v), np.uint64).tobytes()) for i, v in rows], "id long, items binary")
     for percent in (50, 80, 95):
         pairs = {tuple(r) for r in near_dedup.rare_pairs(some, held, percent).collect()}

@@ -24,7 +24,7 @@ SHARE = 80
 TOP = 2000
 FACTOR = 2_000_000
 NO_LANG = "und"
-COUNTS = "lang string, phrase string, f long"
+COUNTS = "key string, f long"
 
 IS_BREAK = np.zeros(256, bool)
 IS_BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -58,11 +58,14 @@ class Grams:
         number = packed.dictionary_encode().indices.to_numpy().astype(np.int64)
         _, spot, unit = np.unique(number * len(self.langs) + lang, return_index=True, return_inverse=True)
         self.lang_of, self.n_words = lang, np.bincount(lang, minlength=len(self.langs))
-        running = sums(self.bytes.astype(np.uint64) + np.uint64(1))
+        # Each different word is hashed once, so 64-bit sums are as long as the vocabulary of the run and not as its text.
+        held, bounds = bytes_of(packed.take(pa.array(spot)).view(pa.large_string()))
+        running = sums(held.astype(np.uint64) + np.uint64(1))
         names = np.array([int.from_bytes(n.encode()[:8], "little") ^ len(n) for n in self.langs], np.uint64)
-        unit_hash = mix(span_hash(running, self.at[spot], self.at[spot + 1]) ^ mix(names[lang[spot]] + np.uint64(1))) if len(spot) else np.zeros(0, np.uint64)
-        breaks = np.concatenate([[0], np.cumsum(IS_BREAK[data])])
-        linked = (breaks[start[1:]] == breaks[start[:-1]]) & (text[1:] == text[:-1]) if len(start) else np.zeros(0, bool)
+        unit_hash = mix(span_hash(running, bounds[:-1], bounds[1:]) ^ mix(names[lang[spot]] + np.uint64(1))) if len(spot) else np.zeros(0, np.uint64)
+        piece = np.searchsorted(np.flatnonzero(IS_BREAK[data]), start)
+        linked = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
+        del data, word, begins, ends, number, text, piece, held, running
 
         # Of each size: an occurrence of every different phrase, its hash and its count.
         self.sizes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -91,20 +94,23 @@ class Grams:
         return v[new], np.add.reduceat(w, new)
 
     def counted(self, marks: list[dict], n_owners: int, bits: int) -> pa.RecordBatch:
-        """Phrases behind set marks and their counts; and under an empty phrase all words of each language."""
+        """Phrases behind set marks and their counts; and under an empty phrase all words of each language.
+
+        A key is the language, a line break (which phrases never hold) and the phrase: one value a row is shuffled, not two.
+        """
         values, _ = self.values(bits)
         enough = values[R.marked(values, marks, n_owners, bits)]
-        langs, phrases, counts = list(self.langs), [""] * len(self.langs), self.n_words.tolist()
+        names = [f"{n}\n" for n in self.langs]
+        keys, counts = list(names), self.n_words.tolist()
         held, shift = self.bytes.tobytes(), np.uint64(64 - bits)
         for n, (spot, known, count) in enumerate(self.sizes, 1):
             place = np.searchsorted(enough, known >> shift)
             hit = np.flatnonzero(enough[np.minimum(place, len(enough) - 1)] == known >> shift) if len(enough) else []
             for s, c in zip(spot[hit].tolist(), count[hit].tolist(), strict=True):
                 at = self.at[s : s + n + 1].tolist()
-                phrases.append(b" ".join([held[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]).decode())
+                keys.append(names[self.lang_of[s]] + b" ".join([held[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]).decode())
                 counts.append(c)
-                langs.append(self.langs[self.lang_of[s]])
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "f"])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(counts, pa.int64())], ["key", "f"])
 
 
 def phrase_counts(docs: DataFrame, text: str, lang: str, least: int, longest: int, run_bytes: int) -> DataFrame:
@@ -122,8 +128,10 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, least: int, longest: in
 
     # Weights stop at 255, which is enough for any smaller bound; beyond it all that reaches 255 is counted.
     marks = R.enough(held, lambda batch: Grams(batch, longest).values(bits), n_owners, bits, min(least, 255))
-    exact = held.join(marks, "run", "left").mapInArrow(count, COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return exact.filter((F.col("f") >= least) | (F.col("phrase") == ""))
+    exact = held.join(marks, "run", "left").mapInArrow(count, COUNTS).groupBy("key").agg(F.sum("f").alias("f"))
+    phrase = F.substring_index("key", "\n", -1)
+    parts = exact.select(F.expr("left(key, length(key) - length(substring_index(key, '\\n', -1)) - 1)").alias("lang"), phrase.alias("phrase"), "f")
+    return parts.filter((F.col("f") >= least) | (F.col("phrase") == ""))
 
 
 def whole(x: Column) -> Column:

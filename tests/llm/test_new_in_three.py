@@ -1,13 +1,16 @@
 """Conversation repair, suffix dedup and phrases against brute force."""
 
 import hashlib
+import inspect
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from llm_frames import frame, none, odd  # noqa: F401
@@ -270,6 +273,29 @@ def test_phrases_of_small_texts(spark, least, share, top, run):
     assert sorted(map(tuple, got.collect())) == phrases_brute([(r[1], r[2]) for r in rows], least, share, top)
 
 
+def test_phrases_of_languages_with_line_breaks(spark):
+    rows = [(i, "San Jose is near. San Jose", lang, "s") for i, lang in enumerate(["a\nb", "a\nb", "a", "\n", "", None])]
+    got = phrases.collocations(frame(spark, rows), least=2)
+    assert sorted(map(tuple, got.collect())) == phrases_brute([(r[1], r[2]) for r in rows], 2, 80, 2000)
+
+
+def test_memory_of_a_run_of_phrases():
+    size = inspect.signature(phrases.collocations).parameters["run_bytes"].default
+    words = [f"word{k}" for k in range(5000)]
+    rng = random.Random(5)
+    text = [" ".join(rng.choice(words) for _ in range(1000)) + "." for _ in range(size // 9000)]
+    batch = pa.table({"text": text, "lang": ["en"] * len(text)}).to_batches()[0]
+    held = sum(map(len, text))
+    tracemalloc.start()
+    try:
+        phrases.Grams(batch, phrases.LONGEST).values(40)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Two tasks share an executor with its JVM.
+    assert held > 0.9 * size and peak < 32 * size
+
+
 def test_phrases_of_odd_rows(odd, none):
     got = phrases.collocations(odd, least=2)
     assert sorted(map(tuple, got.collect())) == phrases_brute([(r.text, r.lang) for r in odd.collect()], 2, 80, 2000)

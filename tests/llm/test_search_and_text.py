@@ -339,3 +339,46 @@ def test_short_pages_and_broken_quotes():
     page = "<body><p>First words of the page stand here.</p><a href=\"x>link</a><p>Second words of the page stand here.</p></body>"
     assert "First words" in html_text.main_text(page) and "Second words" in html_text.main_text(page)
     assert html_text.main_text("<p title='a > b'>Kept as it is, with a sign in a quoted value.</p>") == "Kept as it is, with a sign in a quoted value."
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """One insult stands only in rows that a sample by hash order of a few thousand rows a class leaves out."""
+    rng = random.Random(8)
+    clean = [f"{a}{b}" for a in ("ber", "lon", "mi", "sta") for b in ("en", "a", "tion", "es")]
+    rows, marks = [], []
+    for i in range(15_000):
+        w = [rng.choice(clean) for _ in range(rng.randrange(3, 8))]
+        bad = i % 2
+        rows.append((i, " ".join([*w, "vile"] if bad else w), "en", "s"))
+        marks.append((i, 1, bad))
+    docs, labels = frame(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    known = toxicity.labelled(docs, labels)
+    seen = {r.id for r in known.select("id").collect()}
+    assert seen == {r.doc_id for r in docs.filter(~toxicity.held_out(F.col("doc_id"))).select("doc_id").collect()} and len(seen) > 9000
+    # The last 40 toxic rows in hash order, where a sample would end, hold the only new insult.
+    late = {r.id for r in known.filter("label = 1").orderBy(F.xxhash64("label", "id").desc()).limit(40).select("id").collect()}
+    docs = frame(spark, [(i, t.replace("vile", "zwork") if i in late else t, x, s) for i, t, x, s in rows])
+    model = toxicity.fit(toxicity.labelled(docs, labels), n_slots=1 << 14)
+    new = frame(spark, [(1, "beren zwork mia", "en", "s"), (2, "beren mia loa", "en", "s"), (3, "staes vile mia", "en", "s")])
+    got = {r.id: r.score for r in toxicity.score(new, model).collect()}
+    assert got[1] >= 0.7 and got[3] >= 0.7 and got[2] < 0.3
+
+
+def test_toxicity_of_many_parts(insults):
+    docs, labels = insults
+    scored = []
+    for shuffled in (docs, docs.repartition(5)):
+        rows = toxicity.labelled(shuffled, labels, part_bytes=20_000)
+        assert rows.rdd.getNumPartitions() > 3
+        model = toxicity.fit(rows, n_slots=1 << 14)
+        scored.append({r.id: r.score for r in toxicity.score(docs, model).collect()})
+    # What is learned follows from the rows, not from how they are partitioned.
+    assert scored[0] == scored[1]
+    held = [(scored[0][r.doc_id], r.toxic) for r in labels.filter(toxicity.held_out(F.col("doc_id"))).collect()]
+    assert sum(t and s >= 0.7 for s, t in held) / sum(t for _, t in held) > 0.85 and sum(not t and s >= 0.7 for s, t in held) < 10
+
+
+def test_best_cut_of_counted_values():
+    values, labels = np.array([3.0, 2.0, 2.0, 1.0, -1.0]), np.array([1, 1, 0, 1, 0])
+    assert toxicity.best_cut(values, labels, np.ones(5)) == 0.0
+    assert toxicity.best_cut(np.array([3.0, 2.0, 1.0, -1.0]), np.array([1, 1, 1, 0]), np.array([1, 2, 1, 1])) == 0.0
